@@ -72,7 +72,7 @@ def exact_quantiles(df, value, bucket, probs, group_cols=()):
 
 def money_bucket(c, width=100):
     """Bucket of an amount: whole hundreds, so a bucket holds at most 10,000 distinct amounts."""
-    return F.floor(F.col(c) / width).cast("long")
+    return F.expr(f"bigint({c}) div {width}")
 
 
 def money_quantiles(df, c, probs, group_cols=(), approx=False):

@@ -2,8 +2,9 @@
 
 A line matches if any paid invoice lies within some days and some rand of it. No pair of line and
 invoice is ever formed. Lines and invoices first collapse to distinct (day, amount) points; an invoice
-point is repeated for each day of its window; then, per day and amount cell, one sorted pass finds the
-nearest invoice amount below and above every line.
+point is repeated for each day of its window; then one sorted pass per day and amount cell finds, for
+every line, the largest invoice amount up to the upper end of its tolerance. The line matches exactly
+when that amount is not below the lower end.
 """
 
 from pyspark.sql import Window
@@ -26,47 +27,44 @@ def ledger_points(bank):
 def match_points(bank, invoices, days=fv.RECON_DAYS, tolerance=fv.RECON_AMOUNT, width=CELL_WIDTH):
     """Distinct (day, amount) points of the ledger, their number of lines and whether they match.
 
-    A cell holds at most ``width`` rand of one day, that is 100 x ``width`` distinct amounts, however
-    many lines share them. An invoice near a cell border is repeated in the neighbour cell.
+    Amounts are compared in whole cents. A cell holds at most ``width`` rand of one day, that is
+    100 x ``width`` distinct amounts on either side, however many lines share them. A line lies in the
+    cell of its upper end; an invoice is repeated in every cell such an end can fall into.
     """
-    tolerance = F.lit(tolerance)
+    slack = int(tolerance * 100)
 
-    def cell(amount):
-        return F.floor(amount / width).cast("long")
+    def cents(amount):
+        return (F.col(amount) * 100).cast("bigint")
 
-    amount = F.col("amount")
-    lines = ledger_points(bank).withColumns({"cell": cell(amount), "is_line": F.lit(1)})
+    def cell(end):
+        return F.floor(end / (width * 100)).cast("bigint")
+
+    upper = cents("amount") + slack
+    lines = ledger_points(bank).withColumns({"at": upper, "cell": cell(upper), "is_line": F.lit(1)})
+    offer = cents("amount_incl_vat")
     paid = (
-        invoices.where(r.paid_with_date())
-        .select("payment_date", F.col("amount_incl_vat").alias("amount"))
-        .where("amount is not null")
+        invoices.where(r.paid_with_date() & F.col("amount_incl_vat").isNotNull())
+        .select("payment_date", offer.alias("offer"))
         .distinct()
     )
-    per_day = paid.select(
-        F.explode(
-            F.sequence(F.date_sub("payment_date", days), F.date_add("payment_date", days))
-        ).alias("day"),
-        "amount",
-    ).distinct()
+    shifts = F.array(*[F.lit(shift) for shift in range(-days, days + 1)])
+    per_day = paid.select("payment_date", "offer", F.explode(shifts).alias("shift"))
     offers = per_day.select(
-        "day",
-        "amount",
-        F.explode(F.sequence(cell(amount - tolerance), cell(amount + tolerance))).alias("cell"),
+        F.date_add("payment_date", F.col("shift")).alias("day"),
+        F.col("offer").alias("at"),
+        "offer",
+        F.explode(F.sequence(cell(F.col("offer")), cell(F.col("offer") + 2 * slack))).alias("cell"),
         F.lit(0).alias("is_line"),
-        amount.alias("offer"),
-    )
-    both = lines.unionByName(offers, allowMissingColumns=True)
-    place = Window.partitionBy("day", "cell").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
     )
-    nearest = F.last("offer", ignorenulls=True)
-    below = nearest.over(place.orderBy(F.col("amount").asc(), "is_line"))
-    above = nearest.over(place.orderBy(F.col("amount").desc(), "is_line"))
-    matched = F.coalesce(amount - below <= tolerance, F.lit(False)) | F.coalesce(
-        above - amount <= tolerance, F.lit(False)
+    so_far = (
+        Window.partitionBy("day", "cell")
+        .orderBy("at", "is_line")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    within = F.max("offer").over(so_far) >= F.col("at") - 2 * slack
     return (
-        both.withColumn("matched", matched)
+        lines.unionByName(offers, allowMissingColumns=True)
+        .withColumn("matched", F.coalesce(within, F.lit(False)))
         .where("is_line = 1")
         .select("day", "amount", "is_negative", "lines", "matched")
     )

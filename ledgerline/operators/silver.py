@@ -7,6 +7,12 @@ from ledgerline.functions import rules as r
 AUDIT_COLUMNS = ["silver_loaded_at", "dbt_run_id"]
 
 
+def is_positive(df, name):
+    """Positive amount; text is read as a number first, a typed column is compared as it is."""
+    c = F.col(name)
+    return (c.cast("double") if df.schema[name].dataType.typeName() == "string" else c) > 0
+
+
 def silver_invoices(raw, run_id=""):
     """Clean invoices: bad dates and rejected amounts become null, statuses are standardised.
 
@@ -16,7 +22,7 @@ def silver_invoices(raw, run_id=""):
     kept = raw.where(
         F.col("invoice_id").isNotNull()
         & F.col("supplier_id").isNotNull()
-        & (F.col("amount_incl_vat").cast("double") > 0)
+        & is_positive(raw, "amount_incl_vat")
     )
     return kept.select(
         "invoice_id",
@@ -63,10 +69,7 @@ def silver_bank_transactions(raw):
     kept = raw.where(
         F.col("transaction_id").isNotNull()
         & F.col("transaction_date").isNotNull()
-        & (
-            (F.col("debit_amount").cast("double") > 0)
-            | (F.col("credit_amount").cast("double") > 0)
-        )
+        & (is_positive(raw, "debit_amount") | is_positive(raw, "credit_amount"))
     )
     return kept.select(
         "transaction_id",

@@ -105,9 +105,9 @@ def late_exposure_by_category(invoices):
 def profile_bucket():
     """Hundreds for the amounts; days and probabilities have few distinct values already."""
     amounts = F.col("metric").isin(PROFILE_COLUMNS[:3])
-    return F.when(amounts, F.floor(F.col("value") / 100)).otherwise(
-        F.floor(F.col("value") * 10000)
-    ).cast("long")
+    return F.when(amounts, F.expr("bigint(value) div 100")).otherwise(
+        F.expr("bigint(value * 10000)")
+    )
 
 
 def numeric_profile(df, columns=PROFILE_COLUMNS):
