@@ -118,7 +118,10 @@ labelled AS (
 
 VIEWS = "WITH" + source_views() + OTHER_VIEWS
 
-MISMATCH = "coalesce(abs(vat_amount - round(amount_excl_vat * 0.15, 2)) >= 0.02, true)"
+MISMATCH = (
+    "coalesce(abs(vat_amount::double - round_even(amount_excl_vat::double * 0.15::double * 100, 0) / 100)"
+    " >= 0.02::double, true)"
+)
 
 
 def over_views(text):

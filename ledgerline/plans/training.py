@@ -1,6 +1,7 @@
 """Training, evaluation and scoring of the late-payment classifier with Spark ML."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -109,35 +110,37 @@ class Prepared:
 
 
 def prepare(joined, balanced=False):
-    """Features, label, split and folds of the paid invoices.
+    """Features, label and split of the paid invoices; ``joined`` has the supplier columns.
 
-    ``joined`` is invoices with supplier columns. ``balanced`` adds a class weight column.
+    The rows are dealt out by id once and kept, because every tree reads all of them again.
+    ``balanced`` adds a class weight column.
     """
+    spark = joined.sparkSession
     labelled = training_set(joined)
     fitted = fit_features(labelled)
     matrix = engineer_features(labelled, fitted, keep=["invoice_id", "label"])
-    split = stratified_split(matrix, "label", "invoice_id")
-    train = stratified_folds(split.where("split = 'train'"), "label", "invoice_id")
-    data = train.unionByName(split.where("split = 'test'"), allowMissingColumns=True)
+    data = stratified_split(matrix, "label", "invoice_id")
     if balanced:
-        weights = class_weights(train).select("label", "weight")
+        weights = class_weights(data.where("split = 'train'")).select("label", "weight")
         data = data.join(F.broadcast(weights), "label")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    data = data.repartition(parts, "invoice_id").persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(fitted, data, data.where("split = 'train'").count())
 
 
 def cv_auc(prepared, model_type, folds=fv.FOLDS, weight=None, **overrides):
     """AUC of each fold, by a model fitted on the other folds."""
-    scored = None
+    use_checkpoint_dir(prepared.data.sparkSession)
+    folded = stratified_folds(prepared.train, "label", "invoice_id", folds)
+    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = max(1, prepared.n_train * (folds - 1) // folds)
+    pipeline = estimator(model_type, prepared.fitted.columns, n_rows, weight, **overrides)
+    parts = []
     for fold in range(folds):
-        rest = prepared.train.where(F.col("fold") != fold)
-        n_rows = max(1, prepared.n_train * (folds - 1) // folds)
-        pipeline = estimator(model_type, prepared.fitted.columns, n_rows, weight, **overrides)
-        held_out = prepared.train.where(F.col("fold") == fold)
-        part = with_probability(pipeline.fit(rest), held_out).select(
-            "fold", "label", "late_probability"
-        )
-        scored = part if scored is None else scored.unionByName(part)
+        model = pipeline.fit(folded.where(F.col("fold") != fold))
+        held_out = with_probability(model, folded.where(F.col("fold") == fold))
+        parts.append(held_out.select("fold", "label", "late_probability"))
+    scored = reduce(lambda a, b: a.unionByName(b), parts)
     return roc_auc(scored, group_cols=["fold"])
 
 
