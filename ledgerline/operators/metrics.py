@@ -7,9 +7,6 @@ from ledgerline.functions import fixed_values as fv
 from ledgerline.functions import rules as r
 from ledgerline.operators.ranking import cumulative_before
 
-SCORE_BUCKETS = 4096
-
-
 def score_cells(scored, score, label, group_cols=()):
     """Positives and negatives per distinct score: tied rows collapse here, whatever their number."""
     return (
@@ -26,11 +23,16 @@ def auc_from_cells(cells, group_cols=()):
     """Area under the ROC curve by ranks: each positive counts the negatives below it, ties half.
 
     Sums are exact integers; the only rounding is the last division. Null when a class is missing.
-    Scores are taken to lie in 0 to 1; others still give the right area, from the end buckets.
+    Scores are probabilities. They are ordered by their first 16 bits, their first 32 bits, and the
+    score itself: however close together they lie, no window holds more than the doubles of one step.
     """
-    number = F.floor(F.col("score") * SCORE_BUCKETS)
-    bucketed = cells.withColumn("bucket", F.least(F.greatest(number, F.lit(0)), F.lit(SCORE_BUCKETS)))
-    ordered = cumulative_before(bucketed, ["bucket", "score"], ["neg"], group_cols)
+
+    def step(bits):
+        number = F.floor(F.col("score") * 2**bits)
+        return F.least(F.greatest(number, F.lit(0)), F.lit(2**bits))
+
+    stepped = cells.withColumns({"coarse": step(16), "fine": step(32)})
+    ordered = cumulative_before(stepped, ["coarse", "fine", "score"], ["neg"], group_cols)
     pos, neg = (F.col(c).cast("decimal(18,0)") for c in ("pos", "neg"))
     wins = (2 * F.col("neg_before").cast("decimal(18,0)") + neg) * pos
     totals = ordered.groupBy(*group_cols).agg(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import fixed_values as fv
 from ledgerline.functions import rules as r
-from ledgerline.operators.joins import unmatched_by_reference
+from ledgerline.operators.joins import sized, unmatched_by_reference
 from ledgerline.operators.ranking import rank_by_cells
 from ledgerline.plans.explore import payment_delay
 from ledgerline.plans.operations import overdue_by_category
@@ -114,8 +114,7 @@ def unreconciled_exceptions(
 def escalation_tier(invoices, as_of):
     """Action per unpaid invoice by days past due, with an alert for late ones in deep categories.
 
-    A category is high-risk when the median of its overdue days is above the high threshold. The list
-    of such categories has one row per category.
+    A category is high-risk when the median of its overdue days is above the high threshold.
     """
     past_due = F.datediff(F.lit(as_of).cast("date"), F.col("due_date"))
     action = (
@@ -133,7 +132,7 @@ def escalation_tier(invoices, as_of):
     return (
         invoices.where(~F.col("is_paid"))
         .withColumn("days_over", past_due)
-        .join(F.broadcast(deep), "category", "left")
+        .join(sized(deep), "category", "left")
         .select(
             "invoice_id",
             "supplier_id",
@@ -165,7 +164,8 @@ def due_soon_alert(invoices, as_of, days=fv.DUE_SOON_DAYS, limit=fv.DUE_SOON_SHA
 def log_scale_outliers(invoices, limit=3.0):
     """Invoices more than ``limit`` deviations from their category's mean on the log scale.
 
-    The statistics have one row per category and are broadcast; invoices are not shuffled.
+    The statistics have one row per category. While they are below the broadcast threshold, invoices
+    are not shuffled.
     """
     logged = invoices.where("amount_incl_vat is not null and category is not null").withColumn(
         "log_amount", F.log1p(F.col("amount_incl_vat").cast("double"))
@@ -175,7 +175,7 @@ def log_scale_outliers(invoices, limit=3.0):
     )
     z = (F.col("log_amount") - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
     return (
-        logged.join(F.broadcast(stats), "category")
+        logged.join(sized(stats), "category")
         .withColumn("z_score", z)
         .where(F.abs("z_score") > limit)
         .select("invoice_id", "category", "amount_incl_vat", "z_score")
