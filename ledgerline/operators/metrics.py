@@ -7,15 +7,21 @@ from ledgerline.functions import fixed_values as fv
 from ledgerline.functions import rules as r
 from ledgerline.operators.ranking import cumulative_before
 
+
 def score_cells(scored, score, label, group_cols=()):
-    """Positives and negatives per distinct score: tied rows collapse here, whatever their number."""
-    return (
+    """Positives and negatives per distinct score: tied rows collapse here, whatever their number.
+
+    The first count is the same for every use of the cells, so rows are scored and shuffled once.
+    """
+    keys = [*group_cols, "score"]
+    positive = F.col(label).cast("int") == 1
+    counted = (
         scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*group_cols, F.col(score).cast("double").alias("score"))
-        .agg(
-            F.sum(F.col(label).cast("int")).alias("pos"),
-            F.sum(1 - F.col(label).cast("int")).alias("neg"),
-        )
+        .groupBy(*group_cols, F.col(score).cast("double").alias("score"), positive.alias("_positive"))
+        .agg(F.count("*").alias("n"))
+    )
+    return counted.groupBy(*keys).agg(
+        r.sum_where("_positive", "n").alias("pos"), r.sum_where(~F.col("_positive"), "n").alias("neg")
     )
 
 

@@ -1,35 +1,30 @@
 """Exact order statistics in two passes, without a per-group state that grows with the data."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import cumulative_before
 
 
-def select_ranks(df, value, buckets, ranks, group_cols=(), few_groups=False):
+def select_ranks(df, value, bucket, ranks, group_cols=(), few_groups=False):
     """The values at given zero-based ranks of each group, ascending, nulls left out.
 
     Pass one counts rows per bucket and finds the bucket of each wanted rank. Pass two reads only the
-    rows of those buckets and counts them per value. ``buckets`` are columns from coarse to fine that
-    grow with ``value``; they keep every window small. ``ranks`` turns the group size column into an
-    array of ranks. With ``few_groups`` the caller vouches that the groups are a short fixed list (or
-    one); then the wanted buckets, at most one per group and rank, are broadcast.
+    rows of those buckets and counts them per value. ``bucket`` is a column that grows with ``value``;
+    the buckets of a group meet in one task, the values of a bucket in another. ``ranks`` turns the
+    group size column into an array of ranks. With ``few_groups`` the caller vouches that the groups
+    are a short fixed list; then the wanted buckets, at most one per group and rank, are broadcast.
 
     Gives group_cols, pos (index in the array), rank, value and group_size.
     """
     group_cols = list(group_cols)
     hint = F.broadcast if few_groups or not group_cols else (lambda table: table)
-    names = [f"_b{i}" for i in range(len(buckets))]
-    rows = df.select(
-        *group_cols, value.alias("_v"), *[b.alias(n) for b, n in zip(buckets, names)]
-    ).where("_v is not null")
-    sizes = rows.groupBy(*group_cols, *names).agg(F.count("*").alias("n"))
-    group_size = sizes.groupBy(*group_cols).agg(F.sum("n").alias("group_size"))
-    counts = cumulative_before(sizes, names, ["n"], group_cols)
-    if group_cols:
-        counts = counts.join(hint(group_size), group_cols)
-    else:
-        counts = counts.withColumn("group_size", group_size.scalar())
-    keys = [*group_cols, *names]
+    keys = [*group_cols, "_b"]
+    rows = df.select(*group_cols, value.alias("_v"), bucket.alias("_b")).where("_v is not null")
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    counts = cumulative_before(sizes, ["_b"], ["n"], group_cols).withColumn(
+        "group_size", F.sum("n").over(Window.partitionBy(*group_cols))
+    )
     wanted = (
         counts.select("*", F.posexplode(ranks(F.col("group_size"))).alias("pos", "rank"))
         .where((F.col("rank") >= F.col("n_before")) & (F.col("rank") < F.col("n_before") + F.col("n")))
@@ -47,7 +42,7 @@ def select_ranks(df, value, buckets, ranks, group_cols=(), few_groups=False):
     )
 
 
-def exact_quantiles(df, value, buckets, probs, group_cols=(), few_groups=False):
+def exact_quantiles(df, value, bucket, probs, group_cols=(), few_groups=False):
     """Quantiles with linear interpolation: one row per group, one column ``q<i>`` per probability."""
 
     def place(size, p):
@@ -58,7 +53,7 @@ def exact_quantiles(df, value, buckets, probs, group_cols=(), few_groups=False):
         highs = [F.ceil(place(size, p)).cast("long") for p in probs]
         return F.array(*lows, *highs)
 
-    picked = select_ranks(df, value, buckets, ranks, group_cols, few_groups)
+    picked = select_ranks(df, value, bucket, ranks, group_cols, few_groups)
     n = len(probs)
     found = picked.groupBy(*group_cols).agg(
         F.max("group_size").alias("_size"),
@@ -76,9 +71,9 @@ def exact_quantiles(df, value, buckets, probs, group_cols=(), few_groups=False):
     return found.select(*group_cols, *[interpolated(i, p).alias(f"q{i}") for i, p in enumerate(probs)])
 
 
-def money_buckets(c):
-    """Whole millions, then whole hundreds: a hundred holds at most 10,000 distinct amounts."""
-    return [F.expr(f"bigint({c}) div 1000000"), F.expr(f"bigint({c}) div 100")]
+def money_bucket(c):
+    """Whole hundreds: a bucket holds at most 10,000 distinct amounts."""
+    return F.expr(f"bigint({c}) div 100")
 
 
 def money_quantiles(df, c, probs, group_cols=(), approx=False):
@@ -90,4 +85,4 @@ def money_quantiles(df, c, probs, group_cols=(), approx=False):
             for i, p in enumerate(probs)
         ]
         return group.agg(*values)
-    return exact_quantiles(df, F.col(c), money_buckets(c), probs, group_cols)
+    return exact_quantiles(df, F.col(c), money_bucket(c), probs, group_cols)

@@ -102,13 +102,12 @@ def late_exposure_by_category(invoices):
     )
 
 
-def profile_buckets():
-    """Millions and hundreds for amounts; days and probabilities have few distinct values already."""
+def profile_bucket():
+    """Whole hundreds for amounts; days and probabilities have few distinct values already."""
     amount = F.col("metric").isin(PROFILE_COLUMNS[:3])
-    return [
-        F.when(amount, F.expr("bigint(value) div 1000000")).otherwise(F.expr("bigint(value)")),
-        F.when(amount, F.expr("bigint(value) div 100")).otherwise(F.expr("bigint(value * 10000)")),
-    ]
+    return F.when(amount, F.expr("bigint(value) div 100")).otherwise(
+        F.expr("bigint(value * 10000)")
+    )
 
 
 def numeric_profile(df, columns=PROFILE_COLUMNS):
@@ -126,7 +125,7 @@ def numeric_profile(df, columns=PROFILE_COLUMNS):
         F.max("value").cast("double").alias("max"),
     )
     quartiles = exact_quantiles(
-        long, F.col("value"), profile_buckets(), [0.25, 0.5, 0.75], ["metric"], few_groups=True
+        long, F.col("value"), profile_bucket(), [0.25, 0.5, 0.75], ["metric"], few_groups=True
     )
     return basics.join(quartiles, "metric").select(
         "metric",

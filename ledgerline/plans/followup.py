@@ -46,13 +46,16 @@ def insufficient_history(open_invoices, history, minimum=fv.MIN_PRIOR_INVOICES):
 def risk_ranked_open_invoices(open_invoices, risk="late_payment_probability"):
     """Open invoices with their rank by risk, then amount; equal ones share a rank.
 
+    A missing probability counts as 0, a missing amount comes last among equals.
+
     Probabilities have four decimals, so at most 10,001 totals meet in one task.
     """
     probability = F.coalesce(F.round(F.col(risk), 4), F.lit(0)).cast("decimal(6,4)")
+    amount = F.coalesce("amount_incl_vat", F.lit(0)).cast(r.MONEY)
     levels = {
         "_risk": -probability,
-        "_hundreds": -F.floor(F.col("amount_incl_vat") / 100),
-        "_amount": -F.col("amount_incl_vat"),
+        "_hundreds": -F.floor(amount.cast("bigint") / 100),
+        "_amount": -amount,
     }
     ranked = rank_by_cells(open_invoices, levels, rank_name="risk_rank")
     return ranked.select(

@@ -34,7 +34,7 @@ def amount(cents):
 
 
 def raw_invoices(spark, sf_dir, as_of=AS_OF):
-    """Invoices from ``lineitem``, priced in whole cents as integers."""
+    """Invoices from ``lineitem``, priced in whole cents: numbers on which doubles are exact."""
     names = ", ".join(f"'{name}'" for name in fv.SUPPLIER_CATEGORIES)
     terms = ", ".join(str(days) for days in fv.PAYMENT_TERMS)
     priced = table(spark, sf_dir, "lineitem").selectExpr(
@@ -45,13 +45,12 @@ def raw_invoices(spark, sf_dir, as_of=AS_OF):
         f"array({terms})[int(pmod(l_suppkey, {len(fv.PAYMENT_TERMS)}))] as payment_terms_days",
         "l_linestatus = 'F' or l_returnflag <> 'R' as is_paid",
         "int(l_quantity) as quantity",
-        "(bigint(rint(l_extendedprice * 100)) * (100 - bigint(rint(l_discount * 100))) + 50) div 100"
-        " as excl_cents",
+        "floor((rint(l_extendedprice * 100) * (100 - rint(l_discount * 100)) + 50) / 100) as excl_cents",
         "if(rint(l_tax * 100) >= 8, 14, 15) as tax_percent",
     )
     taxed = priced.selectExpr(
         "*",
-        "(excl_cents * tax_percent + 50) div 100 as vat_cents",
+        "floor((excl_cents * tax_percent + 50) / 100) as vat_cents",
         "quantity > 40 as paid_after_due",
         "if(is_paid, date_add(invoice_date, payment_terms_days"
         " + if(quantity > 40, quantity - 40, -(quantity % 5 + 1))), null) as payment_date",
