@@ -49,7 +49,7 @@ def training_summary(invoices):
 
 def boosted_trees(columns, weight=None, **overrides):
     """Boosted trees; the growing lineage is cut every tenth tree in the shared checkpoint folder."""
-    params = {**fv.GBT_PARAMS, "checkpointInterval": 10, "cacheNodeIds": True, **overrides}
+    params = {**fv.GBT_PARAMS, "checkpointInterval": 10, **overrides}
     return assembled(columns, GBTClassifier(seed=fv.MODEL_SEED, **params), weight)
 
 
