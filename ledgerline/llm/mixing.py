@@ -71,7 +71,7 @@ def find_exponent(totals: DataFrame, max_repeats=None, target_entropy=None) -> f
 
 
 def source_budgets(totals: DataFrame, exponent: float, budget_tokens=None) -> DataFrame:
-    """source, docs, tokens, weight, budget, passes (whole ones), rest (tokens of one more), blocks."""
+    """source, docs, tokens, weight, passes (whole ones), rest (tokens of one more), blocks."""
     powers = weighted(totals, F.lit(exponent))
     all_of = powers.agg(F.sum("power").alias("z"), F.max("tokens").alias("most"), F.max("power").alias("top")).first()
     if all_of["z"] is None:
@@ -80,20 +80,18 @@ def source_budgets(totals: DataFrame, exponent: float, budget_tokens=None) -> Da
         z = all_of["z"]
         budget = float(budget_tokens) if budget_tokens is not None else all_of["most"] * z / all_of["top"]
     out = powers.withColumn("weight", F.col("power") / F.lit(z))
-    # a hair of a token more, so that the largest source's own share does not round down
-    out = out.withColumn("budget", F.floor(F.col("weight") * F.lit(budget) + F.lit(1e-6)).cast("long"))
-    passes = F.floor(F.col("budget") / F.col("tokens")).cast("long")
-    return out.withColumns(
-        {"passes": passes, "blocks": F.ceil(F.sqrt(F.col("docs").cast("double"))).cast("long")}
-    ).select(
+    # within 1e-9 of a whole number of passes counts as whole: the largest source's own share is exactly one
+    repeats = F.col("weight") * F.lit(budget) / F.col("tokens")
+    passes = F.floor(repeats + F.lit(1e-9)).cast("long")
+    rest = F.greatest(F.floor((repeats - passes) * F.col("tokens")).cast("long"), F.lit(0).cast("long"))
+    return out.select(
         "source",
         "docs",
         "tokens",
         "weight",
-        "budget",
-        "passes",
-        (F.col("budget") - F.col("passes") * F.col("tokens")).alias("rest"),
-        "blocks",
+        passes.alias("passes"),
+        rest.alias("rest"),
+        F.ceil(F.sqrt(F.col("docs").cast("double"))).cast("long").alias("blocks"),
     )
 
 
@@ -119,7 +117,7 @@ def mixed_rows(df: DataFrame, tokens, max_repeats=2.0, target_entropy=None, budg
     exponent = find_exponent(totals, **aim)
     budgets = source_budgets(totals, exponent, budget_tokens)
     known = budgets.withColumnRenamed("source", "s")
-    joined = rows.join(known, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "docs", "tokens", "budget")
+    joined = rows.join(known, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "docs", "tokens")
     uses = joined.withColumn(
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("passes"), F.lit(0)).cast("long")))
     ).where("passes is null or epoch < passes or rest > 0")

@@ -1,6 +1,18 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from ledgerline.llm.chat_format import ChatTemplate
+from ledgerline.llm.common import WORD
+from ledgerline.llm.mixing import SEED
+from ledgerline.llm.weak_rules import (
+    CAPITAL_WORD,
+    KEEP_AT,
+    PRIOR,
+    RULES,
+    START,
+    STEPS,
+    SYMBOL_WORD,
+    SYMBOLS,
+)
 
 ORACLE_SQL = {}
 
@@ -71,3 +83,119 @@ from digest join steps using (conv_id)
 
 
 ORACLE_SQL["op9_chat_format"] = _op9()
+
+
+ORACLE_SQL["op7_temperature_mix"] = f"""
+with rows as (
+    select doc_id, source, len(regexp_extract_all(coalesce(text, ''), {sql_text(WORD)})) as n_tokens from documents
+), totals as (
+    select source, sum(n_tokens)::bigint as tokens, count(*) as docs from rows group by source
+), ends as (
+    select max(tokens)::double as most, min(tokens)::double as least from totals where tokens > 0
+), aim as (
+    select most, case when most <= 2 * least then 0.0
+        else least(1.0, greatest(0.0, ceil((1 - ln(2) / ln(most / least)) * 4294967296.0) / 4294967296.0)) end as a
+    from ends
+), power as (
+    select totals.*, pow(tokens::double, a) as power, most, pow(most, a) as top from totals, aim where tokens > 0
+), repeated as (
+    select *, power / (sum(power) over ()) * (most * (sum(power) over ()) / top) / tokens as repeats from power
+), budgets as (
+    select source, tokens, docs, cast(floor(repeats + 1e-9) as bigint) as passes,
+           greatest(cast(floor((repeats - floor(repeats + 1e-9)) * tokens) as bigint), 0) as rest,
+           cast(ceil(sqrt(docs::double)) as bigint) as blocks
+    from repeated
+), uses as (
+    select r.doc_id, r.source, r.n_tokens, passes, rest, blocks, unnest(range(0, coalesce(passes, 0) + 1)) as epoch
+    from rows r left join budgets b on r.source is not distinct from b.source
+), keyed as (
+    select *, cast('0x' || substr(md5('{SEED}:' || epoch || ':' || coalesce(doc_id::varchar, '')), 1, 12) as bigint)
+        as order_key
+    from uses where passes is null or epoch < passes or rest > 0
+), blocked as (
+    select *, case when blocks > 0 then order_key % blocks end as block from keyed
+), sizes as (
+    select source, block, sum(n_tokens) as size from blocked where epoch = passes group by source, block
+), befores as (
+    select *, coalesce(sum(size) over (partition by source order by block rows between unbounded preceding
+        and 1 preceding), 0) as before from sizes
+), running as (
+    select k.*, before, size, sum(n_tokens) over (partition by k.source, k.block order by order_key, doc_id
+        rows between unbounded preceding and current row) as running
+    from blocked k join befores b on k.source is not distinct from b.source and k.block = b.block
+    where epoch = passes
+)
+select doc_id, source, n_tokens, epoch, block, order_key from blocked where passes is null or epoch < passes
+union all
+select doc_id, source, n_tokens, epoch, block, order_key from running
+where before < rest and (before + size <= rest or before + running <= rest)
+"""
+
+
+def _op3():
+    votes = ", ".join(
+        f"case when {bad} then -1 when {good} then 1 else 0 end as {rule}" for rule, (bad, good) in RULES.items()
+    )
+    names = ", ".join(RULES)
+    share, g0, b0 = START
+    odds = "ln(share / (1 - share))" + "".join(
+        f" + case {r} when 1 then ln(g_{r}) - ln(1 - b_{r}) when -1 then ln(1 - g_{r}) - ln(b_{r}) else 0 end"
+        for r in RULES
+    )
+    steps = ", ".join(
+        f"(sum(n * p * ({r} = 1)::int) + {PRIOR} * sum(n) * {g0}) / (sum(n * p * ({r} <> 0)::int) + {PRIOR} * sum(n))"
+        f", (sum(n * (1 - p) * ({r} = -1)::int) + {PRIOR} * sum(n) * {b0})"
+        f" / (sum(n * (1 - p) * ({r} <> 0)::int) + {PRIOR} * sum(n))"
+        for r in RULES
+    )
+    params = ", ".join(f"g_{r}, b_{r}" for r in RULES)
+    start = ", ".join(f"{g0}::double, {b0}::double" for _ in RULES)
+    return f"""
+with recursive docs as materialized (
+    select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+), words as (
+    select r, unnest(ws) as w, generate_subscripts(ws, 1) as i
+    from (select r, regexp_extract_all(text, {sql_text(WORD)}) as ws from docs)
+), windows as (
+    select r, i, w, lead(w, 1) over (partition by r order by i) as w2, lead(w, 2) over (partition by r order by i) as w3
+    from words
+), twice as (
+    select r, i from (select r, i, count(*) over (partition by r, w, w2, w3) as times from windows where w3 is not null)
+    where times > 1
+), repeats as (
+    select r, count(distinct p) as n_repeat_words from (select r, unnest([i, i + 1, i + 2]) as p from twice) group by r
+), counts as materialized (
+    select r, doc_id, len(regexp_extract_all(text, {sql_text(WORD)})) as n_words,
+           length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) as word_chars,
+           len(regexp_extract_all(text, {sql_text(SYMBOLS)})) as n_symbols,
+           len([x for x in string_split(text, chr(10)) if regexp_matches(x, {sql_text(WORD)})]) as n_lines,
+           len([x for x in string_split(text, chr(10)) if regexp_matches(x, {sql_text(WORD)})])
+             - len(list_distinct([x for x in string_split(text, chr(10)) if regexp_matches(x, {sql_text(WORD)})])) as n_dup_lines,
+           len(regexp_extract_all(text, '\\p{{Lu}}')) as n_capitals,
+           len(regexp_extract_all(text, {sql_text(SYMBOL_WORD)})) as n_symbol_words,
+           len(regexp_extract_all(text, {sql_text(CAPITAL_WORD)})) as n_capital_words,
+           len(regexp_extract_all(text, '!')) as n_marks,
+           coalesce(n_repeat_words, 0) as n_repeat_words
+    from docs left join repeats using (r)
+), voted as materialized (
+    select *, {votes} from counts
+), patterns as materialized (
+    select {names}, count(*) as n from voted group by {names}
+), em(step, share, {params}) as (
+    select 0, {share}::double, {start}
+    union all
+    select step + 1, (sum(n * p) + {PRIOR} * sum(n) * {share}) / (sum(n) + {PRIOR} * sum(n)), {steps}
+    from (select step, n, {names}, 1 / (1 + exp(-({odds}))) as p from em, patterns where step < {STEPS})
+    group by step
+), judged as (
+    select voted.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+           1 / (1 + exp(-({odds}))) as posterior
+    from voted, (select * from em where step = {STEPS})
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and posterior >= {KEEP_AT} as kept
+from judged
+"""
+
+
+ORACLE_SQL["op3_quality_rules"] = _op3()

@@ -2,7 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat_format, common, cover_search, mixing, packing
+from ledgerline.llm import (
+    chat_format,
+    common,
+    cover_search,
+    language,
+    mixing,
+    packing,
+    quality_model,
+    weak_rules,
+)
 from ledgerline.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
 from ledgerline.session import use_checkpoint_dir
 
@@ -45,3 +54,40 @@ def op9_chat_format(spark, d):
 def op10_best_fit_packing(spark, d):
     docs = common.table(spark, d, "documents").select("doc_id", "source", "text")
     return packing.pack(docs, common.n_words(F.col("text")), common.digest_of_words(F.col("text")))
+
+
+def remainder(column, n):
+    """crc32 of the id as text, modulo n: the contract's split; null ids are in no split."""
+    return F.pmod(F.crc32(column.cast("string")), F.lit(n))
+
+
+@query
+def op1_quality_classifier(spark, d):
+    docs = common.table(spark, d, "documents").select("doc_id", "text")
+    split = remainder(F.col("doc_id"), 5)
+    weights = quality_model.fit(docs, common.table(spark, d, "labels"), split != 0)
+    score = quality_model.scorer(weights)
+    return docs.select(
+        "doc_id", F.coalesce(split == 0, F.lit(False)).alias("held_out"), score("text").alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op3_quality_rules(spark, d):
+    use_checkpoint_dir(spark)
+    docs = common.table(spark, d, "documents").select("doc_id", "text")
+    counts = common.stored(weak_rules.text_counts(docs), "rule-counts")
+    return weak_rules.judge(counts).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op4_language_id(spark, d):
+    docs = common.table(spark, d, "documents").select("doc_id", "text", "lang")
+    split = remainder(F.col("doc_id"), 4)
+    model = language.learn(docs, split != 2)
+    predict = language.predictor(model)
+    return docs.select(
+        "doc_id", F.coalesce(split == 2, F.lit(False)).alias("held_out"), predict("text").alias("p")
+    ).select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
