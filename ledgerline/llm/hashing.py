@@ -3,26 +3,31 @@
 import zlib
 
 import numpy as np
+import xxhash
+
+
+def crc(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
 
 
 class WordIds:
-    """Word -> crc32; the cache is emptied when it holds ``limit`` words."""
+    """Word -> number by a hash function; the cache is emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
-        self.limit = limit
-        self.known: dict[str, int] = {}
+    def __init__(self, hashed=crc, dtype=np.uint32, limit: int = 300_000):
+        self.hashed, self.dtype, self.limit = hashed, dtype, limit
+        self.known: dict = {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __call__(self, words: list) -> np.ndarray:
         if len(self.known) > self.limit:
             self.known = {}
         known = self.known
         try:
-            return np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words))
+            return np.fromiter(map(known.__getitem__, words), dtype=self.dtype, count=len(words))
         except KeyError:
             for w in words:
                 if w not in known:
-                    known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass"))
-            return np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words))
+                    known[w] = self.hashed(w)
+            return np.fromiter(map(known.__getitem__, words), dtype=self.dtype, count=len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,3 +38,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
+
+
+#: Odd multipliers, one per place in a shingle.
+PLACES = np.array(
+    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
+    + [0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
+    dtype=np.uint64,
+)
+
+
+class Shingles:
+    """Text -> 64-bit hashes of its runs of ``k`` words (at most 8), in order of place.
+
+    Words are runs of characters other than ASCII blanks, A-Z in lower case: bytes.lower() and bytes.split()
+    do exactly that. A text with fewer words is one run.
+    """
+
+    def __init__(self, k: int):
+        self.k = k
+        self.ids = WordIds(xxhash.xxh3_64_intdigest, np.uint64)
+
+    def __call__(self, text) -> np.ndarray:
+        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+        if not words:
+            return np.empty(0, dtype=np.int64)
+        w = self.ids(words)
+        k = min(self.k, len(w))
+        n = len(w) - k + 1
+        total = np.full(n, k, dtype=np.uint64)
+        for i in range(k):
+            total += w[i : i + n] * PLACES[i]
+        return mix(total).view(np.int64)

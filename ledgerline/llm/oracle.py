@@ -3,6 +3,7 @@
 from ledgerline.llm.chat_format import ChatTemplate
 from ledgerline.llm.common import WORD
 from ledgerline.llm.mixing import SEED
+from ledgerline.llm.near_dup import PERCENT
 from ledgerline.llm.weak_rules import (
     CAPITAL_WORD,
     KEEP_AT,
@@ -199,3 +200,39 @@ from judged
 
 
 ORACLE_SQL["op3_quality_rules"] = _op3()
+
+
+def near_dup_sql(table, k, percent=PERCENT):
+    """Exact links from shared shingles, then the smallest reachable id."""
+    row = ", ".join(["w"] + [f"lead(w, {i}) over (partition by doc_id order by i)" for i in range(1, k)])
+    return f"""
+with recursive words as (
+    select doc_id, ws, unnest(ws) as w, generate_subscripts(ws, 1) as i from (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), {sql_text(WORD)}) as ws
+        from {table} where doc_id is not null)
+), runs as (
+    select doc_id, len(ws) as size, i, [{row}] as s from words
+), shingles as materialized (
+    select distinct doc_id, md5(array_to_string(s, ' ')) as s from runs where i <= greatest(size - {k} + 1, 1)
+), sizes as materialized (
+    select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+    select x.doc_id as a, y.doc_id as b, count(*) as i
+    from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by all
+), links as materialized (
+    select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    where 100 * i >= {percent} * (p.n + q.n - i)
+), reach(doc_id, other) as (
+    select a, b from links union select reach.doc_id, links.b from reach join links on reach.other = links.a
+), least_of as (
+    select doc_id, least(doc_id, min(other)) as component_id from reach group by doc_id
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, d.doc_id) as component_id,
+       d.doc_id = coalesce(component_id, d.doc_id) as kept
+from (select distinct doc_id from {table} where doc_id is not null) d
+left join sizes using (doc_id) left join least_of using (doc_id)
+"""
+
+
+ORACLE_SQL["op6_minhash_near_dup"] = near_dup_sql("documents", 4)

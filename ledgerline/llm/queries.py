@@ -8,6 +8,7 @@ from ledgerline.llm import (
     cover_search,
     language,
     mixing,
+    near_dup,
     packing,
     quality_model,
     weak_rules,
@@ -91,3 +92,9 @@ def op4_language_id(spark, d):
     return docs.select(
         "doc_id", F.coalesce(split == 2, F.lit(False)).alias("held_out"), predict("text").alias("p")
     ).select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
+
+
+@query
+def op6_minhash_near_dup(spark, d):
+    use_checkpoint_dir(spark)
+    return near_dup.near_duplicates(common.table(spark, d, "documents"), k=4)
