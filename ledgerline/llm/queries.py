@@ -11,6 +11,7 @@ from ledgerline.llm import (
     near_dup,
     packing,
     quality_model,
+    substring_dup,
     weak_rules,
 )
 from ledgerline.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
@@ -98,3 +99,8 @@ def op4_language_id(spark, d):
 def op6_minhash_near_dup(spark, d):
     use_checkpoint_dir(spark)
     return near_dup.near_duplicates(common.table(spark, d, "documents"), k=4)
+
+
+@query
+def op5_substring_dedup(spark, d):
+    return substring_dup.shared_passages(common.table(spark, d, "documents"))
