@@ -10,6 +10,7 @@ from ledgerline.llm import (
     mixing,
     near_dup,
     packing,
+    pseudo_likelihood,
     quality_model,
     substring_dup,
     weak_rules,
@@ -104,3 +105,9 @@ def op6_minhash_near_dup(spark, d):
 @query
 def op5_substring_dedup(spark, d):
     return substring_dup.shared_passages(common.table(spark, d, "documents"))
+
+
+@query
+def op2_masked_lm(spark, d):
+    docs = common.table(spark, d, "documents").select("doc_id", "text")
+    return pseudo_likelihood.scored(docs, pseudo_likelihood.learn(docs))
