@@ -74,7 +74,8 @@ BENCHMARK_RATES = {
     "SMEs with Cash Flow Issues (Xero SA 2024)": 0.24,
     "Automated AP Best Practice Target": 0.08,
 }
-GOVT_LATE_RATE = 0.30
+#: Counts firms with any late payment, so it is no share of invoices.
+NOT_COMPARABLE = ["SMEs Experiencing Any Late Payment (CGIC 2025)"]
 BEST_PRACTICE_LATE_RATE = 0.08
 
 # KPI rating thresholds

@@ -1,6 +1,5 @@
 """Joins between invoices, suppliers and the ledger."""
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ledgerline.functions import rules as r
@@ -16,17 +15,6 @@ def pick_column(df, *candidates):
     raise ValueError(f"none of {candidates} in {df.columns}")
 
 
-def sized(small):
-    """An aggregate, computed once and kept, so that the planner knows its true size.
-
-    Joined without a hint, it is broadcast if it is below the session's threshold; otherwise the
-    adaptive sort-merge join takes it, with hot keys split.
-    """
-    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    return kept
-
-
 def invoices_with_supplier(invoices, suppliers):
     """Left join of invoices to the master; shared names keep the invoice value.
 

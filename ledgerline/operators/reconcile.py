@@ -7,6 +7,8 @@ every line, the largest invoice amount up to the upper end of its tolerance. The
 when that amount is not below the lower end.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -31,7 +33,10 @@ def match_points(bank, invoices, days=fv.RECON_DAYS, tolerance=fv.RECON_AMOUNT,
     100 x ``width`` distinct amounts on either side, however many lines share them. A line lies in the
     cell of its upper end; an invoice is repeated in every cell such an end can fall into.
     """
-    slack = int(tolerance * 100)
+    slack = Decimal(str(tolerance)) * 100
+    if slack != int(slack) or slack < 0:
+        raise ValueError(f"tolerance of {tolerance} is no whole number of cents")
+    slack = int(slack)
 
     def cents(amount):
         return (F.col(amount) * 100).cast("bigint")
@@ -150,8 +155,10 @@ def flag_lines(bank, invoices, **tolerances):
     keyed = bank.withColumns(
         {"_amount": F.abs("debit_amount"), "_negative": F.col("debit_amount") < 0}
     )
-    return (
-        keyed.join(points, ["transaction_date", "_amount", "_negative"], "left")
-        .withColumn("matched", F.coalesce("matched", F.lit(False)))
-        .drop("_amount", "_negative")
-    )
+    # only matched points answer anything, and undated lines or lines without an amount never match one
+    matched = points.where("matched")
+    can_match = F.col("transaction_date").isNotNull() & F.col("_amount").isNotNull()
+    dated = keyed.where(can_match).join(matched, ["transaction_date", "_amount", "_negative"], "left")
+    rest = keyed.where(~can_match).withColumn("matched", F.lit(False))
+    flagged = dated.withColumn("matched", F.coalesce("matched", F.lit(False))).unionByName(rest)
+    return flagged.drop("_amount", "_negative")

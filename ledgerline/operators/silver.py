@@ -1,4 +1,7 @@
-"""Silver layer: typed, cleaned tables. One projection and one filter each, no shuffle."""
+"""Silver layer: typed, cleaned tables. One projection and one filter each, no shuffle.
+
+``keep`` names further columns of the raw table to carry along.
+"""
 
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ def is_positive(df, name):
     return (c.cast("double") if df.schema[name].dataType.typeName() == "string" else c) > 0
 
 
-def silver_invoices(raw, run_id=""):
+def silver_invoices(raw, run_id="", keep=()):
     """Clean invoices: bad dates and rejected amounts become null, statuses are standardised.
 
     Rows without an id, a supplier or a positive gross amount are dropped. The filter reads the raw
@@ -43,10 +46,11 @@ def silver_invoices(raw, run_id=""):
         r.normalise_status("invoice_status").alias("invoice_status"),
         F.current_timestamp().alias("silver_loaded_at"),
         F.lit(run_id).alias("dbt_run_id"),
+        *keep,
     )
 
 
-def silver_suppliers(raw):
+def silver_suppliers(raw, keep=()):
     kept = raw.where(F.col("supplier_id").isNotNull() & F.col("supplier_name").isNotNull())
     return kept.select(
         "supplier_id",
@@ -61,10 +65,11 @@ def silver_suppliers(raw):
         F.trim("city").alias("city"),
         r.safe_timestamp("created_at").alias("created_at"),
         F.current_timestamp().alias("silver_loaded_at"),
+        *keep,
     )
 
 
-def silver_bank_transactions(raw):
+def silver_bank_transactions(raw, keep=()):
     """Clean ledger lines. The filter tests the raw date text, so an unreadable date stays as null."""
     kept = raw.where(
         F.col("transaction_id").isNotNull()
@@ -82,6 +87,7 @@ def silver_bank_transactions(raw):
         "invoice_reference",
         F.col("reconciled").cast("boolean").alias("reconciled"),
         F.current_timestamp().alias("silver_loaded_at"),
+        *keep,
     )
 
 

@@ -62,7 +62,7 @@ OTHER_VIEWS = """,
 raw_suppliers AS (
   SELECT
     cast(s_suppkey AS varchar) AS supplier_id, s_name AS supplier_name,
-    concat(1990 + s_suppkey % 33, '/', left(lpad(cast(s_suppkey + 100000 AS varchar), 6, '0'), 6), '/',
+    concat(1990 + s_suppkey % 33, '/', cast(s_suppkey + 100000 AS varchar), '/',
            ['07', '08', '23'][1 + s_suppkey % 3]) AS cipc_number,
     concat('4', lpad(cast(s_suppkey AS varchar), 9, '0')) AS vat_number,
     ['Office Supplies', 'IT Equipment', 'Cleaning Services', 'Courier Services', 'Legal Services',
@@ -118,6 +118,60 @@ labelled AS (
 
 VIEWS = "WITH" + source_views() + OTHER_VIEWS
 
+# Faults by rule in the raw tables, before they are cleaned.
+FAULTY_INVOICES = """raw_invoices AS (
+  SELECT CASE WHEN k <> 13 THEN invoice_id END AS invoice_id,
+    CASE WHEN k = 0 THEN 'X' || supplier_id WHEN k <> 5 THEN supplier_id END AS supplier_id,
+    CASE WHEN k = 15 THEN DATE '2030-01-01' WHEN k <> 9 THEN invoice_date END AS invoice_date,
+    CASE WHEN k = 2 THEN invoice_date - 1 ELSE due_date END AS due_date, payment_date,
+    amount_excl_vat, vat_amount,
+    (CASE WHEN k = 4 THEN -amount_incl_vat WHEN k = 16 THEN amount_incl_vat + 1 ELSE amount_incl_vat END)::decimal(18,2)
+      AS amount_incl_vat,
+    CASE WHEN k = 1 THEN 'USD' WHEN k <> 8 THEN currency END AS currency,
+    category, payment_terms_days, days_past_due, is_late, is_paid,
+    CASE WHEN k = 3 THEN 'Void' WHEN k <> 6 THEN invoice_status END AS invoice_status
+  FROM (SELECT *, cast(split_part(invoice_id, '-', 1) AS bigint) % 40 AS k FROM clean_invoices) c,
+    (VALUES (0), (1)) AS t(copy)
+  WHERE copy = 0 OR k = 7
+),
+inv AS ("""
+FAULTY_SUPPLIERS = """raw_suppliers AS (
+  SELECT CASE WHEN k = 9 THEN 'U' || supplier_id ELSE supplier_id END AS supplier_id,
+    CASE WHEN k <> 6 THEN supplier_name END AS supplier_name,
+    CASE WHEN k = 3 THEN 'BAD' ELSE cipc_number END AS cipc_number,
+    CASE WHEN k = 4 THEN '999' ELSE vat_number END AS vat_number, category,
+    CASE WHEN k = 5 THEN 45 ELSE payment_terms_days END AS payment_terms_days,
+    avg_invoice_value_zar, late_payment_probability, email, city, created_at
+  FROM (SELECT *, cast(supplier_id AS bigint) % 20 AS k FROM clean_suppliers) WHERE k <> 7
+),
+sup AS ("""
+FAULTY_BANK = """
+raw_bank AS (
+  SELECT transaction_id, CASE WHEN k <> 14 THEN transaction_date END AS transaction_date, description,
+    (CASE WHEN k = 11 THEN debit_amount + 5 ELSE debit_amount END)::decimal(18,2) AS debit_amount,
+    credit_amount, balance_impact, category,
+    CASE WHEN k = 10 THEN 'GONE-' || invoice_reference WHEN k <> 12 THEN invoice_reference END AS invoice_reference,
+    CASE WHEN k IN (10, 12) THEN false ELSE reconciled END AS reconciled
+  FROM (SELECT *, coalesce(cast(split_part(invoice_reference, '-', 1) AS bigint) % 40, -1) AS k FROM clean_bank)
+),
+bank AS ("""
+
+
+def with_faults(views, *tables):
+    if "invoices" in tables:
+        views = views.replace("raw_invoices AS (", "clean_invoices AS (").replace("inv AS (", FAULTY_INVOICES, 1)
+    if "suppliers" in tables:
+        views = views.replace("raw_suppliers AS (", "clean_suppliers AS (").replace("sup AS (", FAULTY_SUPPLIERS, 1)
+    if "bank" in tables:
+        views = views.replace("raw_bank AS (", "clean_bank AS (").replace("\nbank AS (", FAULTY_BANK, 1)
+        if "invoices" in tables:
+            views = views.replace("FROM raw_invoices WHERE is_paid", "FROM clean_invoices WHERE is_paid")
+    return views
+
+
+ALL_FAULTY = with_faults(VIEWS, "invoices", "suppliers", "bank")
+FAULTY_LEDGER = with_faults(VIEWS, "bank")
+
 MISMATCH = (
     "coalesce(abs(vat_amount::double - round_even(amount_excl_vat::double * 0.15::double * 100, 0) / 100)"
     " >= 0.02::double, true)"
@@ -129,6 +183,14 @@ def over_views(text):
     return VIEWS + "\n" + text.strip()
 
 
+def over_faulty(text, views=None):
+    return (views or ALL_FAULTY) + "\n" + text.strip()
+
+
+def over_faulty_ledger(text):
+    return over_faulty(text, FAULTY_LEDGER)
+
+
 def ratio(part, whole):
     return f"(({part})::double / nullif(({whole})::double, 0))"
 
@@ -210,6 +272,14 @@ CURRENCY = (
     "inv",
     "currency IS DISTINCT FROM 'ZAR'",
 )
+VAT_ACCURACY = (
+    "vat_accuracy",
+    "silver_invoices",
+    "vat_validation_status",
+    "warn",
+    "inv",
+    "vat_validation_status <> 'VALID'",
+)
 UNIQUE_WARN = (
     unique("silver_invoices", "supplier_id", "warn", "inv")
     + "\nUNION ALL\n"
@@ -217,6 +287,13 @@ UNIQUE_WARN = (
 )
 
 
+RAW_NAMES = {"inv": "raw_invoices", "sup": "raw_suppliers", "bank": "raw_bank"}
+
+
+def on_raw(entries):
+    return [(*e[:4], RAW_NAMES[e[4]], e[5]) for e in entries]
+
+
 def vat_months(day, condition):
     return f"""
 SELECT strftime({day}, '%Y-%m') AS year_month, year({day})::integer AS year, month({day})::integer AS month,
@@ -536,7 +613,8 @@ def exceptions(amount):
   SELECT b.*, len(list_filter(range(b.transaction_date::timestamp + INTERVAL 1 DAY, TIMESTAMP '{AS_OF}' + INTERVAL 1 DAY, INTERVAL 1 DAY),
     lambda x: isodow(x) < 6))::integer AS business_days_open
   FROM bank b
-  WHERE {amount} > 1000 AND NOT EXISTS (SELECT 1 FROM inv i WHERE i.invoice_id = b.invoice_reference)
+  WHERE {amount} > 1000 AND NOT coalesce(reconciled, false)
+    AND NOT EXISTS (SELECT 1 FROM inv i WHERE i.invoice_id = b.invoice_reference)
 )
 SELECT transaction_id, transaction_date, description, {amount} AS amount, reconciled, business_days_open
 FROM waiting WHERE business_days_open > 5"""
@@ -640,8 +718,8 @@ FROM lines""",
     "normalise_text": """
 SELECT p_partkey, upper(p_name) AS upper_name, lower(p_name) AS lower_name, p_type AS trimmed_type FROM part""",
     "invoices_with_supplier": over_views("SELECT * FROM joined"),
-    "scorecard_left_join": over_views(scorecard("LEFT JOIN", ", m.late_count")),
-    "merge_integrity": over_views(
+    "scorecard_left_join": over_faulty(scorecard("LEFT JOIN", ", m.late_count")),
+    "merge_integrity": over_faulty(
         """
 , c AS (
   SELECT count(*) FILTER (WHERE i.supplier_id IS NOT NULL AND s.supplier_id IS NOT NULL) AS "both",
@@ -651,15 +729,15 @@ SELECT p_partkey, upper(p_name) AS upper_name, lower(p_name) AS lower_name, p_ty
 )
 SELECT *, left_only = 0 AS no_orphan_invoices, right_only = 0 AS no_unused_suppliers FROM c"""
     ),
-    "recon_by_reference": over_views(
+    "recon_by_reference": over_faulty_ledger(
         """
 SELECT b.category, count(*) AS total, count(i.invoice_id) AS matched, count(*) - count(i.invoice_id) AS unmatched
 FROM bank b LEFT JOIN inv i ON b.invoice_reference = i.invoice_id GROUP BY 1"""
     ),
-    "matched_by_reference": over_views(
+    "matched_by_reference": over_faulty_ledger(
         "SELECT * FROM bank WHERE invoice_reference IN (SELECT invoice_id FROM inv)"
     ),
-    "unmatched_by_reference": over_views(
+    "unmatched_by_reference": over_faulty_ledger(
         "SELECT * FROM bank b WHERE NOT EXISTS (SELECT 1 FROM inv i WHERE i.invoice_id = b.invoice_reference)"
     ),
     "derive_vat": over_views(
@@ -675,24 +753,29 @@ SELECT invoice_id, amount_excl_vat, round(amount_excl_vat * 0.15, 2)::decimal(18
     ),
     "derive_status": over_views("SELECT invoice_id, is_paid, due_date, invoice_status FROM raw_invoices"),
     "derive_is_late": over_views("SELECT invoice_id, is_paid, is_late FROM raw_invoices"),
-    "seasonal_flag": over_views(
-        """
-SELECT invoice_id, invoice_date, CASE WHEN month(invoice_date) IN (1, 11, 12) THEN 1.2 ELSE 1.0 END::decimal(2,1) AS seasonal_factor
-FROM raw_invoices"""
+
+
+    "cashbook": over_views("SELECT * FROM raw_bank"),
+    "dq_not_null": over_faulty(
+        checks(*on_raw(NOT_NULL), *on_raw(NOT_NULL_SUPPLIERS), *on_raw(NOT_NULL_BANK))
     ),
-    "supplier_prior": over_views(
+    "dq_accepted_values": over_faulty(
         """
-SELECT supplier_id, avg_invoice_value_zar, round(0.10 + avg_invoice_value_zar * 0.000002, 3)::decimal(6,4) AS late_payment_probability
-FROM raw_suppliers"""
+, stated AS (
+  SELECT upper(invoice_status) AS invoice_status,
+    CASE WHEN amount_excl_vat > 20000 THEN
+      CASE WHEN abs(vat_amount - amount_excl_vat * 0.15) < 0.02 THEN 'VALID' ELSE 'VAT_MISMATCH' END
+    ELSE 'UNCHECKED' END AS vat_validation_status
+  FROM raw_invoices
+)
+"""
+        + checks(*[(*c[:4], "stated", c[5]) for c in ACCEPTED])
     ),
-    "cashbook": over_views("SELECT * FROM raw_bank"),
-    "dq_not_null": over_views(checks(*NOT_NULL, *NOT_NULL_SUPPLIERS, *NOT_NULL_BANK)),
-    "dq_accepted_values": over_views(checks(*ACCEPTED)),
     "dq_unique_warn": over_views(UNIQUE_WARN),
     "dq_duplicate_keys": over_views(
         "SELECT supplier_id, count(*) AS n_records FROM inv GROUP BY 1 HAVING count(*) > 1"
     ),
-    "dq_currency": over_views(checks(CURRENCY)),
+    "dq_currency": over_faulty(checks(CURRENCY)),
     "dq_missing_profile": over_views(
         """
 , m AS (SELECT count(*) AS n, count(*) - count(COLUMNS(*)) FROM joined)
@@ -711,14 +794,14 @@ FROM raw_suppliers"""
         + """ FROM joined)) ON COLUMNS(* EXCLUDE n) INTO NAME "column" VALUE missing_count)
 SELECT "column", missing_count, round(missing_count * 100::double / n, 2) AS pct_missing FROM long WHERE missing_count > 0"""
     ).replace(", m AS (SELECT count(*) AS n, count(*) - count(COLUMNS(*)) FROM joined)\n", ""),
-    "dq_sanity": over_views(
+    "dq_sanity": over_faulty(
         checks(
-            ("negative_amount", "sa_invoices", "amount_incl_vat", "error", "inv", "amount_incl_vat < 0"),
-            ("future_invoice_date", "sa_invoices", "invoice_date", "error", "inv", f"invoice_date > DATE '{AS_OF}'"),
-            ("due_before_issue", "sa_invoices", "due_date", "error", "inv", "due_date < invoice_date"),
+            ("negative_amount", "sa_invoices", "amount_incl_vat", "error", "raw_invoices", "amount_incl_vat < 0"),
+            ("future_invoice_date", "sa_invoices", "invoice_date", "error", "raw_invoices", f"invoice_date > DATE '{AS_OF}'"),
+            ("due_before_issue", "sa_invoices", "due_date", "error", "raw_invoices", "due_date < invoice_date"),
         )
     ),
-    "dq_formats": over_views(
+    "dq_formats": over_faulty(
         checks(
             (
                 "company_number_format", "sa_suppliers", "cipc_number", "error", "raw_suppliers",
@@ -730,7 +813,7 @@ SELECT "column", missing_count, round(missing_count * 100::double / n, 2) AS pct
             ),
         )
     ),
-    "dq_unique_ids": over_views(
+    "dq_unique_ids": over_faulty(
         unique("sa_suppliers", "supplier_id", "error", "raw_suppliers")
         + "\nUNION ALL\n"
         + unique("sa_invoices", "invoice_id", "error", "raw_invoices")
@@ -740,7 +823,7 @@ SELECT "column", missing_count, round(missing_count * 100::double / n, 2) AS pct
             ("not_null", "sa_invoices", "invoice_id", "error", "raw_invoices", "invoice_id IS NULL"),
         )
     ),
-    "dq_amounts": over_views(
+    "dq_amounts": over_faulty(
         checks(
             ("amount_positive", "sa_invoices", "amount_excl_vat", "error", "raw_invoices", "amount_excl_vat <= 0"),
             ("amount_positive", "sa_invoices", "amount_incl_vat", "error", "raw_invoices", "amount_incl_vat <= 0"),
@@ -751,10 +834,13 @@ SELECT "column", missing_count, round(missing_count * 100::double / n, 2) AS pct
             ),
         )
     ),
-    "dq_dates": over_views(
-        checks(("due_on_or_after_issue", "sa_invoices", "due_date", "error", "raw_invoices", "due_date < invoice_date"))
+    "dq_dates": over_faulty(
+        checks(
+            ("due_on_or_after_issue", "sa_invoices", "due_date", "error", "raw_invoices",
+             "coalesce(due_date < invoice_date, true)")
+        )
     ),
-    "dq_domains": over_views(
+    "dq_domains": over_faulty(
         checks(
             (
                 "valid_payment_terms", "sa_suppliers", "payment_terms_days", "error", "raw_suppliers",
@@ -762,12 +848,12 @@ SELECT "column", missing_count, round(missing_count * 100::double / n, 2) AS pct
             ),
             (
                 "valid_status", "sa_invoices", "invoice_status", "error", "raw_invoices",
-                "invoice_status NOT IN ('Paid', 'Overdue', 'Pending')",
+                "coalesce(invoice_status NOT IN ('Paid', 'Overdue', 'Pending'), true)",
             ),
-            ("currency_is_zar", "sa_invoices", "currency", "error", "raw_invoices", "currency <> 'ZAR'"),
+            ("currency_is_zar", "sa_invoices", "currency", "error", "raw_invoices", "currency IS DISTINCT FROM 'ZAR'"),
         )
     ),
-    "dq_required": over_views(
+    "dq_required": over_faulty(
         checks(
             *[
                 ("not_null", "sa_invoices", c, "error", "raw_invoices", f"{c} IS NULL")
@@ -775,8 +861,16 @@ SELECT "column", missing_count, round(missing_count * 100::double / n, 2) AS pct
             ]
         )
     ),
-    "dq_silver_report": over_views(
-        checks(*NOT_NULL, *ACCEPTED, CURRENCY, *NOT_NULL_SUPPLIERS, *NOT_NULL_BANK)
+    "dq_silver_report": over_faulty(
+        checks(*NOT_NULL, *ACCEPTED, CURRENCY, VAT_ACCURACY, *NOT_NULL_SUPPLIERS, *NOT_NULL_BANK)
+        + "\nUNION ALL\n"
+        + checks(
+            (
+                "known", "silver_invoices", "supplier_id", "error",
+                "(SELECT supplier_id FROM inv WHERE supplier_id IS NOT NULL)",
+                "supplier_id NOT IN (SELECT supplier_id FROM sup)",
+            )
+        )
         + "\nUNION ALL\n"
         + UNIQUE_WARN
     ),
@@ -954,7 +1048,8 @@ FROM (SELECT region, sum(is_late::integer)::bigint AS late_invoices,
   ('SMEs with Cash Flow Issues (Xero SA 2024)', 0.24::double),
   ('Automated AP Best Practice Target', 0.08::double))
 , l AS (SELECT sum(is_late::integer)::double / count(is_late) AS late_rate FROM inv)
-SELECT late_rate, benchmark, benchmark_rate, late_rate - benchmark_rate AS gap FROM b, l"""
+SELECT late_rate, benchmark, benchmark_rate, benchmark NOT LIKE '%CGIC%' AS comparable,
+  CASE WHEN benchmark NOT LIKE '%CGIC%' THEN late_rate - benchmark_rate END AS gap FROM b, l"""
     ),
     "prime_rate_join": over_views(PRIMED + "SELECT * FROM primed"),
     "late_vs_prime": over_views(
@@ -1058,8 +1153,14 @@ FROM joined WHERE NOT is_paid"""
 )
 SELECT *, compliant::double / paid_in_window AS compliance_rate FROM counted"""
     ),
-    "unreconciled_exceptions": over_views(exceptions("debit_amount")),
+    "unreconciled_exceptions": over_faulty_ledger(exceptions("debit_amount")),
     "unreconciled_receipts": over_views(exceptions("credit_amount")),
+    "unreconciled_by_tolerance": over_views(
+        RECON_POINTS.format(amount="credit_amount", source="bank")
+        + exceptions("credit_amount")
+        .replace("FROM bank b", "FROM flagged b")
+        .replace("NOT EXISTS (SELECT 1 FROM inv i WHERE i.invoice_id = b.invoice_reference)", "NOT is_matched")
+    ),
     "escalation_tier": over_views(
         f"""
 , deep AS (SELECT category FROM inv WHERE days_past_due > 0 GROUP BY 1 HAVING round(quantile_cont(days_past_due::double, 0.5), 1) > 30)
@@ -1081,7 +1182,7 @@ SELECT *, due_soon::double / outstanding AS due_soon_share, due_soon::double / o
 , s AS (SELECT category, avg(v) AS m, stddev_samp(v) AS d FROM l GROUP BY 1)
 SELECT invoice_id, category, amount_incl_vat, round((v - m) / d, 5) AS z_score FROM l JOIN s USING (category) WHERE abs((v - m) / d) > 3"""
     ),
-    "audit_log": over_views(
+    "audit_log": over_faulty_ledger(
         """
 SELECT transaction_id, transaction_date, description, debit_amount, credit_amount, invoice_reference, supplier_id,
   amount_incl_vat AS invoice_amount, (debit_amount - amount_incl_vat)::decimal(18,2) AS difference, reconciled,

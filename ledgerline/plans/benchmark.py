@@ -110,7 +110,7 @@ def region_ranking(totals):
 
 
 def benchmark_gap(invoices):
-    """Late rate minus each external benchmark, one row per benchmark."""
+    """Late rate minus each external benchmark, one row per benchmark; no gap where it counts something else."""
     entries = [
         F.struct(F.lit(name).alias("benchmark"), F.lit(rate).alias("benchmark_rate"))
         for name, rate in fv.BENCHMARK_RATES.items()
@@ -118,7 +118,8 @@ def benchmark_gap(invoices):
     return (
         invoices.agg(late_rate().alias("late_rate"))
         .select("late_rate", F.inline(F.array(*entries)))
-        .withColumn("gap", F.col("late_rate") - F.col("benchmark_rate"))
+        .withColumn("comparable", ~F.col("benchmark").isin(fv.NOT_COMPARABLE))
+        .withColumn("gap", F.when(F.col("comparable"), F.col("late_rate") - F.col("benchmark_rate")))
     )
 
 

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import fixed_values as fv
 from ledgerline.functions import rules as r
-from ledgerline.operators.joins import sized, unmatched_by_reference
+from ledgerline.operators.joins import unmatched_by_reference
 from ledgerline.operators.ranking import rank_by_cells
+from ledgerline.operators.reconcile import flag_lines
 from ledgerline.plans.explore import payment_delay
 from ledgerline.plans.operations import overdue_by_category
 
@@ -48,11 +49,13 @@ def risk_ranked_open_invoices(open_invoices, risk="late_payment_probability"):
 
     A missing probability counts as 0, a missing amount comes last among equals.
 
-    Probabilities have four decimals, so at most 10,001 totals meet in one task.
+    The order is by the probability as it is. Its first 16 bits are the coarsest level, so at most
+    65,537 totals meet in one task.
     """
-    probability = F.coalesce(F.round(F.col(risk), 4), F.lit(0)).cast("decimal(6,4)")
+    probability = F.coalesce(F.col(risk).cast("double"), F.lit(0.0))
     amount = F.coalesce("amount_incl_vat", F.lit(0)).cast(r.MONEY)
     levels = {
+        "_step": -F.least(F.greatest(F.floor(probability * 2**16), F.lit(0)), F.lit(2**16)),
         "_risk": -probability,
         "_hundreds": -F.floor(amount.cast("bigint") / 100),
         "_amount": -amount,
@@ -96,12 +99,23 @@ def unreconciled_exceptions(
     amount="debit_amount",
     min_amount=fv.EXCEPTION_MIN_AMOUNT,
     max_business_days=fv.EXCEPTION_BUSINESS_DAYS,
+    by_tolerance=False,
 ):
-    """Ledger lines above an amount that no invoice explains for more than some business days."""
+    """Ledger lines above an amount that stay unreconciled for more than some business days.
+
+    A line counts as explained if it is marked as reconciled, or if its reference names an invoice; with
+    ``by_tolerance``, if a paid invoice lies near it in days and amount.
+    """
     waiting = r.business_days_between("transaction_date", F.lit(as_of).cast("date"))
+    open_lines = bank.where((F.col(amount) > F.lit(min_amount)) & ~F.coalesce("reconciled", F.lit(False)))
+    if by_tolerance:
+        as_debits = open_lines.withColumn("_debit", F.col("debit_amount")).withColumn("debit_amount", F.col(amount))
+        unexplained = flag_lines(as_debits, invoices).where(~F.col("matched"))
+        unexplained = unexplained.withColumn("debit_amount", F.col("_debit")).drop("_debit", "matched")
+    else:
+        unexplained = unmatched_by_reference(open_lines, invoices)
     return (
-        unmatched_by_reference(bank.where(F.col(amount) > F.lit(min_amount)), invoices)
-        .withColumn("business_days_open", waiting)
+        unexplained.withColumn("business_days_open", waiting)
         .where(F.col("business_days_open") > max_business_days)
         .select(
             "transaction_id",
@@ -135,7 +149,7 @@ def escalation_tier(invoices, as_of):
     return (
         invoices.where(~F.col("is_paid"))
         .withColumn("days_over", past_due)
-        .join(sized(deep), "category", "left")
+        .join(deep, "category", "left")
         .select(
             "invoice_id",
             "supplier_id",
@@ -178,7 +192,7 @@ def log_scale_outliers(invoices, limit=3.0):
     )
     z = (F.col("log_amount") - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
     return (
-        logged.join(sized(stats), "category")
+        logged.join(stats, "category")
         .withColumn("z_score", z)
         .where(F.abs("z_score") > limit)
         .select("invoice_id", "category", "amount_incl_vat", "z_score")
@@ -188,16 +202,22 @@ def log_scale_outliers(invoices, limit=3.0):
 def snapshot_diff(before, after, key):
     """Rows added, removed, changed or unchanged between two snapshots of a table, by key.
 
-    Only the key and a digest of the row are shuffled. The digest is over named fields, so a value
-    that moves from one column to another counts as a change.
+    Only the key and sums of row hashes are shuffled. The hashes are over named fields, so a value that
+    moves from one column to another counts as a change. Rows that share a key are one entry: it is unchanged if
+    both sides have the same rows, each as often. A null key is a key like any other.
     """
 
     def digests(df, name):
         columns = [c for c in sorted(df.columns) if c not in (key, "ingested_date")]
         row = F.to_json(F.struct(*columns))
-        return df.select(key, F.md5(row).alias(name))
+        # order-free and additive, so partial sums travel; decimals, because sums of 64-bit hashes overflow
+        sums = [F.sum(F.xxhash64(F.lit(seed), row).cast("decimal(38,0)")) for seed in (1, 2)]
+        return df.groupBy(F.col(key).alias(f"{name}_key")).agg(F.struct(F.count("*"), *sums).alias(name))
 
-    joined = digests(before, "_old").join(digests(after, "_new"), key, "full")
+    old, new = digests(before, "_old"), digests(after, "_new")
+    joined = old.join(new, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full").withColumn(
+        key, F.coalesce("_old_key", "_new_key")
+    )
     return joined.select(
         key,
         F.when(F.col("_old").isNull(), "ADDED")

@@ -87,7 +87,7 @@ def raw_suppliers(spark, sf_dir):
         F.concat_ws(
             "/",
             (F.pmod(key, F.lit(33)) + 1990).cast("string"),
-            F.lpad((key + 100000).cast("string"), 6, "0"),
+            (key + 100000).cast("string"),
             suffixes[F.pmod(key, F.lit(3)).cast("int")],
         ).alias("cipc_number"),
         F.concat(F.lit(fv.VAT_NUMBER_PREFIX), F.lpad(key.cast("string"), 9, "0")).alias("vat_number"),

@@ -1,10 +1,14 @@
-"""Bronze zone: data as received, one ``ingested_date`` folder per landing day."""
+"""Bronze zone: files exactly as received, one ``ingested_date`` folder per landing day."""
 
+import csv
 import logging
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.schemas import bronze_schema
+from ledgerline.schemas import BRONZE_COLUMNS
 
 log = logging.getLogger(__name__)
 
@@ -16,6 +20,10 @@ CSV_WRITE = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+#: Holds the text of a record that does not fit its header; null elsewhere.
+CORRUPT = "_corrupt_record"
+#: Files copied or opened at a time.
+PARALLEL = 16
 
 
 def path_on(spark, path):
@@ -28,6 +36,15 @@ def exists(spark, path):
     return fs.exists(hadoop_path)
 
 
+def data_files(spark, path):
+    """The file, or the files of a folder, without markers such as ``_SUCCESS``."""
+    fs, hadoop_path = path_on(spark, path)
+    if not fs.getFileStatus(hadoop_path).isDirectory():
+        return [path]
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if not s.isDirectory()]
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(names) if n[0] not in "_."]
+
+
 def ingested_dates(spark, root, dataset):
     """Landing days of a dataset, from a listing of its day folders; no data is read."""
     fs, hadoop_path = path_on(spark, f"{root}/{dataset}")
@@ -37,13 +54,9 @@ def ingested_dates(spark, root, dataset):
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("ingested_date="))
 
 
-def read_csv(spark, path, dataset=None):
-    """Every column as text: by the known schema, or by the header for an unmodelled dataset."""
-    reader = spark.read.options(**CSV_READ)
-    schema = bronze_schema(dataset)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+def read_csv(spark, path):
+    """Every column as text, by the header."""
+    return spark.read.options(**CSV_READ).csv(path)
 
 
 def write_csv(df, path, mode="overwrite"):
@@ -51,16 +64,27 @@ def write_csv(df, path, mode="overwrite"):
 
 
 def land_bronze(spark, source, root, dataset, run_date):
-    """Copy a received file into today's folder; a second run that day replaces it, other days stay."""
-    received = read_csv(spark, source, dataset)
-    (
-        received.withColumn("ingested_date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**CSV_WRITE)
-        .partitionBy("ingested_date")
-        .csv(f"{root}/{dataset}")
-    )
+    """Copy a received file, or a folder of files, byte by byte into the day's folder.
+
+    A second run that day replaces the day, other days stay. The copy is made beside the day and moved in when it is
+    whole. Each landing gives its files a name of their own, so that a stream sees a replaced day as new files.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    copy = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy
+    landing = uuid.uuid4().hex[:12]
+    fs, day = path_on(spark, f"{root}/{dataset}/ingested_date={run_date}")
+    _, waiting = path_on(spark, f"{root}/{dataset}/_landing-{landing}")
+    fs.mkdirs(waiting)
+
+    def copy_one(path):
+        from_fs, from_path = path_on(spark, path)
+        to = path_on(spark, f"{waiting.toString()}/{landing}-{from_path.getName()}")[1]
+        copy(from_fs, from_path, fs, to, False, conf)
+
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        list(pool.map(copy_one, data_files(spark, source)))
+    fs.delete(day, True)
+    fs.rename(waiting, day)
 
 
 def land_all(spark, files, root, run_date):
@@ -76,26 +100,100 @@ def land_all(spark, files, root, run_date):
     return outcomes
 
 
-def read_bronze(spark, root, dataset):
-    """All landings of a dataset, as text, with ``ingested_date``."""
-    df = spark.read.options(**CSV_READ).option("basePath", f"{root}/{dataset}")
-    schema = bronze_schema(dataset)
-    if schema is not None:
-        df = df.schema(schema.add("ingested_date", "string"))
-    return df.csv(f"{root}/{dataset}")
+def header_of(spark, path):
+    """Column names of a file; a repeated name gets a number. Empty for an empty file."""
+    fs, hadoop_path = path_on(spark, path)
+    io = spark.sparkContext._jvm.java.io
+    reader = io.BufferedReader(io.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    names = next(csv.reader([(line or "").removeprefix("﻿")]), [])
+    return tuple(n if n not in names[:i] else f"{n}_{i}" for i, n in enumerate(names))
+
+
+def landed(spark, root, dataset, days=None, multi_line=False, **options):
+    """Landings as text with all their columns, found by name in each file's own header.
+
+    Gives one DataFrame per distinct header: its columns, ``_corrupt_record`` and ``ingested_date``. The header of
+    each file is one small read. ``multi_line`` is for sources whose records may hold line breaks; a file is then
+    read by one task.
+    """
+    if days is None:
+        days = ingested_dates(spark, root, dataset)
+    paths = [f for day in days for f in data_files(spark, f"{root}/{dataset}/ingested_date={day}")]
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        headers = list(pool.map(lambda path: header_of(spark, path), paths))
+    groups = {}
+    for header, path in zip(headers, paths):
+        if header:
+            groups.setdefault(header, []).append(path)
+    reader = spark.read.options(**CSV_READ).option("basePath", f"{root}/{dataset}")
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line).options(**options)
+    return [
+        reader.schema(
+            T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT, "ingested_date"]])
+        ).csv(group)
+        for header, group in groups.items()
+    ]
+
+
+def read_bronze(spark, root, dataset, days=None, multi_line=False):
+    """Landings of a dataset as text, with ``ingested_date``.
+
+    A known dataset has its columns, by name: missing ones are null, others stay in the files. An unmodelled one
+    has the columns of all its files.
+    """
+    parts = landed(spark, root, dataset, days, multi_line)
+    columns = BRONZE_COLUMNS.get(dataset)
+    if columns is None:
+        columns = list(dict.fromkeys(c for df in parts for c in df.columns if c not in (CORRUPT, "ingested_date")))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*columns, "ingested_date"]))
+    picked = [
+        df.select(
+            *[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns],
+            "ingested_date",
+        )
+        for df in parts
+    ]
+    out = picked[0]
+    for df in picked[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def corrupt_records(spark, root, dataset, days=None, multi_line=False):
+    """Records per landing day, how many have no first field, and how many do not fit the header of their file.
+
+    Every field is parsed, because a misfit shows only in the columns that are read.
+    """
+    parts = [
+        df.select("ingested_date", F.col(CORRUPT).isNotNull().alias("bad"), F.col(f"`{df.columns[0]}`").alias("first"))
+        for df in landed(spark, root, dataset, days, multi_line, columnPruning="false")
+    ]
+    if not parts:
+        return spark.createDataFrame([], "ingested_date string, records long, blank long, corrupt long")
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df)
+    return out.groupBy("ingested_date").agg(
+        F.count("*").alias("records"),
+        F.count_if(F.col("first").isNull()).alias("blank"),
+        F.count_if("bad").alias("corrupt"),
+    )
 
 
-def bronze_snapshot(spark, root, dataset, as_of=None):
-    """The latest landing (on or before ``as_of``): one day folder, the others are pruned."""
+def bronze_snapshot(spark, root, dataset, as_of=None, multi_line=False):
+    """The latest landing (on or before ``as_of``): one day folder, the others are not opened."""
     days = [d for d in ingested_dates(spark, root, dataset) if as_of is None or d <= as_of]
     if not days:
         raise ValueError(f"nothing landed for {dataset} under {root}")
-    return read_bronze(spark, root, dataset).where(F.col("ingested_date") == days[-1])
+    return read_bronze(spark, root, dataset, days[-1:], multi_line)
 
 
 def register_sources(spark, root):
     """Name the raw tables for SQL users: one view per known dataset, on its latest landing."""
-    from ledgerline.schemas import BRONZE_COLUMNS
-
     for dataset in BRONZE_COLUMNS:
         bronze_snapshot(spark, root, dataset).createOrReplaceTempView(dataset)

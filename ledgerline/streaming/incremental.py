@@ -1,12 +1,11 @@
-"""Daily ingest as a file stream: only landings not yet seen are cleaned and appended."""
+"""Daily ingest as a file stream: days with files not yet seen are cleaned and replaced in the target."""
 
 from ledgerline.operators.silver import (
     silver_bank_transactions,
     silver_invoices,
     silver_suppliers,
 )
-from ledgerline.schemas import bronze_schema
-from ledgerline.sources.bronze import CSV_READ
+from ledgerline.sources.bronze import read_bronze
 
 CLEANERS = {
     "sa_invoices": silver_invoices,
@@ -15,23 +14,39 @@ CLEANERS = {
 }
 
 
-def bronze_stream(spark, root, dataset):
-    schema = bronze_schema(dataset).add("ingested_date", "string")
-    return spark.readStream.options(**CSV_READ).schema(schema).csv(f"{root}/{dataset}")
+def landing_stream(spark, root, dataset):
+    """New lines of Bronze, only to learn which days they belong to."""
+    schema = "value string, ingested_date string"
+    return spark.readStream.schema(schema).format("text").load(f"{root}/{dataset}")
 
 
 def bronze_incremental(spark, root, dataset, target, checkpoint):
-    """Clean every unseen landing into ``target`` (Parquet) and stop.
+    """Clean every day that has unseen files into ``target`` (Parquet by day) and stop.
 
-    The checkpoint folder is the ingest log: a rerun after a lost executor or a restart takes up where
-    the last finished batch ended, and writes each file once.
+    A batch reads the days it touches whole and overwrites just those partitions, so a rerun after a lost
+    executor, a restart, or a second landing on the same day leaves each day exactly as Bronze has it.
+    The checkpoint folder is the ingest log.
     """
-    cleaned = CLEANERS[dataset](bronze_stream(spark, root, dataset))
+
+    def replace_days(batch, batch_id):
+        # one row per landing day of the batch
+        days = sorted(row.ingested_date for row in batch.select("ingested_date").distinct().collect())
+        if not days:
+            return
+        cleaned = CLEANERS[dataset](
+            read_bronze(batch.sparkSession, root, dataset, days), keep=["ingested_date"]
+        )
+        (
+            cleaned.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("ingested_date")
+            .parquet(target)
+        )
+
     query = (
-        cleaned.writeStream.format("parquet")
-        .option("path", target)
+        landing_stream(spark, root, dataset)
+        .writeStream.foreachBatch(replace_days)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

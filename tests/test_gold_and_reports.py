@@ -192,6 +192,15 @@ def test_risk_ranking_shares_ranks(spark):
     assert got == {"b": 1, "d": 2, "a": 3, "c": 3, "e": 5}
 
 
+def test_risk_ranking_keeps_small_differences(spark):
+    df = spark.createDataFrame(
+        [("a", 0.50004, Decimal(5)), ("b", 0.50001, Decimal(10)), ("c", 1.0, Decimal(1)), ("d", 0.0, Decimal(99))],
+        "invoice_id string, late_probability double, amount_incl_vat decimal(18,2)",
+    ).selectExpr("*", "'S' as supplier_id", "cast(null as date) as due_date")
+    ranked = followup.risk_ranked_open_invoices(df, "late_probability").collect()
+    assert {row.invoice_id: row.risk_rank for row in ranked} == {"c": 1, "a": 2, "b": 3, "d": 4}
+
+
 def test_rolling_compliance_window_edges(make_invoices):
     invoices = make_invoices(
         {"date": "2024-01-01", "pay": "2024-01-02", "terms": 30},
@@ -231,9 +240,15 @@ def test_exceptions_wait_more_than_five_business_days(make_bank, make_invoices):
         {"id": "small", "date": "2024-01-05", "debit": 1000},
         {"id": "known", "date": "2024-01-05", "debit": 2000, "reference": "I0"},
         {"id": "lost", "date": "2024-01-05", "debit": 2000, "reference": "GONE"},
-    )
-    rows = followup.unreconciled_exceptions(bank, make_invoices({}), "2024-01-16").collect()
-    assert sorted((row.transaction_id, row.business_days_open) for row in rows) == [("lost", 7), ("old", 7)]
+        {"id": "settled", "date": "2024-01-05", "debit": 2000, "reconciled": True},
+        {"id": "near", "date": "2024-01-08", "debit": 1010},
+    ).withColumn("reconciled", F.col("transaction_id") == "settled")
+    invoices = make_invoices({"incl": 1000, "pay": "2024-01-09"})
+    rows = followup.unreconciled_exceptions(bank, invoices, "2024-01-16").collect()
+    got = sorted((row.transaction_id, row.business_days_open) for row in rows)
+    assert got == [("lost", 7), ("near", 6), ("old", 7)]
+    rows = followup.unreconciled_exceptions(bank, invoices, "2024-01-16", by_tolerance=True).collect()
+    assert sorted(row.transaction_id for row in rows) == ["known", "lost", "old"]
 
 
 def test_snapshot_diff_sees_a_value_that_moves_between_columns(spark):
@@ -244,6 +259,17 @@ def test_snapshot_diff_sees_a_value_that_moves_between_columns(spark):
     assert got == {"1": "CHANGED", "2": "UNCHANGED", "3": "REMOVED", "4": "ADDED"}
 
 
+def test_snapshot_diff_with_repeated_and_null_keys(spark):
+    schema = "k string, a string"
+    rows = [("1", "x"), ("1", "y"), ("2", "x"), ("2", "x"), (None, "n"), ("3", "x"), ("3", "y")]
+    before = spark.createDataFrame(rows, schema)
+    after = spark.createDataFrame([("1", "y"), ("1", "x"), ("2", "x"), (None, "n"), ("3", "x"), ("3", "z")], schema)
+    got = {row.k: row.change for row in followup.snapshot_diff(before, after, "k").collect()}
+    assert got == {"1": "UNCHANGED", "2": "CHANGED", None: "UNCHANGED", "3": "CHANGED"}
+    same = followup.snapshot_changes(before, before, "k").collect()
+    assert [(row.change, row.rows) for row in same] == [("UNCHANGED", 4)]
+
+
 def test_log_outliers_ignore_a_plain_tail(make_invoices):
     rows = [{"incl": 100 + i} for i in range(50)] + [{"id": "OUT", "incl": 1000000}]
     got = followup.log_scale_outliers(make_invoices(*rows)).collect()

@@ -59,6 +59,31 @@ def test_split_has_the_exact_share_of_each_class(spark):
     assert split.exceptAll(again).count() == 0
 
 
+def test_rows_of_one_key_stay_together(spark):
+    rows = [("same", 0)] * 10 + [(f"I{i}", 0) for i in range(90)]
+    df = spark.createDataFrame(rows, "invoice_id string, label int")
+    split = splits.stratified_split(df, "label", "invoice_id").where("invoice_id = 'same'")
+    assert split.count() == 10 and split.select("split").distinct().count() == 1
+    folds = splits.stratified_folds(df, "label", "invoice_id").where("invoice_id = 'same'")
+    assert folds.select("fold").distinct().count() == 1
+
+
+@pytest.mark.parametrize("tolerance", [0.29, "0.29", Decimal("0.29")])
+def test_tolerance_is_exact_in_cents(make_bank, make_invoices, tolerance):
+    bank = make_bank({"debit": "100.00", "date": "2024-01-10"})
+    invoices = make_invoices({"incl": "100.29", "pay": "2024-01-10"})
+    assert reconcile.flag_lines(bank, invoices, tolerance=tolerance).first().matched
+    assert not reconcile.flag_lines(bank, invoices, tolerance="0.28").first().matched
+    with pytest.raises(ValueError):
+        reconcile.match_points(bank, invoices, tolerance=0.295)
+
+
+def test_undated_lines_are_flagged_and_kept(make_bank, make_invoices):
+    bank = make_bank({"date": None, "debit": 100}, {"debit": 100}, {"credit": 5})
+    flagged = reconcile.flag_lines(bank, make_invoices({"incl": 100, "pay": "2024-01-10"})).collect()
+    assert sorted((row.transaction_id, row.matched) for row in flagged) == [("T0", False), ("T1", True), ("T2", False)]
+
+
 def test_split_takes_the_smallest_digests(spark):
     rows = splits.stratified_split(labelled(spark, 40, 10), "label", "invoice_id").collect()
     for label, size in [(0, 6), (1, 2)]:

@@ -7,6 +7,8 @@ import pytest
 
 import check_oracle
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerline.oracle import ORACLE_SQL
+from ledgerline.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 HEADLINES = [
@@ -27,7 +29,8 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tab
 
 
 def test_every_query_has_sql_or_is_a_model():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLE_SQL) == WITHOUT_SQL
+    assert set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -36,6 +39,24 @@ def test_entry_runs(spark):
     assert entry(spark).columns[0] == "year_month"
 
 
+@needs_tables
+@pytest.mark.parametrize("name", sorted(n for n in queries() if n.startswith("dq_")))
+def test_every_report_has_a_failing_check(spark, name):
+    rows = [row.asDict() for row in queries()[name](spark, FOLDER).collect()]
+    assert any(row.get("failing_rows", row.get("missing_count", row.get("n_records", 0))) > 0 for row in rows)
+
+
+@needs_tables
+def test_join_states_all_occur(spark):
+    states = queries()["audit_log"](spark, FOLDER).select("match_status").distinct().count()
+    assert states == 4
+    row = queries()["merge_integrity"](spark, FOLDER).first()
+    assert row.both and row.left_only and row.right_only
+    assert queries()["unreconciled_exceptions"](spark, FOLDER).count() > 0
+    left = queries()["scorecard_left_join"](spark, FOLDER)
+    assert left.where("supplier_name is null").count() and left.where("supplier_name is not null").count()
+
+
 @needs_tables
 @pytest.mark.parametrize("name", HEADLINES)
 def test_headline_agrees_with_sql(spark, name):

@@ -48,6 +48,39 @@ def test_landing_keeps_text_as_received_and_other_days(spark, tmp_path):
     assert row.avg_invoice_value_zar == "100.5"
 
 
+def test_columns_are_found_by_name_and_bytes_stay(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    swapped = write_text(tmp_path / "a.csv", ["supplier_name,supplier_id,extra", "Acme,SUP0001,kept"])
+    bronze.land_bronze(spark, swapped, root, "sa_suppliers", "2025-05-01")
+    bronze.land_bronze(spark, supplier_file(tmp_path, SUPPLIER_ROW), root, "sa_suppliers", "2025-05-02")
+    rows = {r.ingested_date: r for r in bronze.read_bronze(spark, root, "sa_suppliers").collect()}
+    assert (rows["2025-05-01"].supplier_id, rows["2025-05-01"].supplier_name) == ("SUP0001", "Acme")
+    assert rows["2025-05-01"].city is None and rows["2025-05-02"].supplier_id == "S1"
+    (first,) = (tmp_path / "bronze" / "sa_suppliers" / "ingested_date=2025-05-01").glob("*.csv")
+    assert first.read_bytes() == (tmp_path / "a.csv").read_bytes()
+    extras = bronze.landed(spark, root, "sa_suppliers", ["2025-05-01"])
+    assert [df.first().extra for df in extras] == ["kept"]
+
+
+def test_quoted_line_break_and_misfit_records(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    lines = ["transaction_id,description", '1,"two', 'lines"', "2,plain", "3,too,many"]
+    bronze.land_bronze(spark, write_text(tmp_path / "b.csv", lines), root, "sa_bank_transactions", "2025-05-01")
+    rows = bronze.read_bronze(spark, root, "sa_bank_transactions", multi_line=True).collect()
+    assert [(r.transaction_id, r.description) for r in rows][:2] == [("1", "two\nlines"), ("2", "plain")]
+    counted = bronze.corrupt_records(spark, root, "sa_bank_transactions", multi_line=True).first()
+    assert (counted.records, counted.corrupt) == (3, 1)
+
+
+def test_landing_a_folder_of_files(spark, tmp_path):
+    root, out = str(tmp_path / "bronze"), str(tmp_path / "delivered")
+    frame = spark.range(10).selectExpr("string(id) as month", "string(id * 2) as rate")
+    bronze.write_csv(frame.repartition(3), out)
+    bronze.land_bronze(spark, out, root, "rates", "2025-05-01")
+    got = {(r.month, r.rate) for r in bronze.read_bronze(spark, root, "rates").collect()}
+    assert got == {(str(i), str(2 * i)) for i in range(10)}
+
+
 def test_snapshot_is_the_latest_day_or_an_earlier_one(spark, tmp_path):
     root = str(tmp_path / "bronze")
     path = supplier_file(tmp_path, SUPPLIER_ROW)
@@ -84,6 +117,16 @@ def test_incremental_cleans_each_landing_once(spark, tmp_path):
     bronze_incremental(spark, root, "sa_suppliers", target, log)
     rows = spark.read.parquet(target).collect()
     assert [row.supplier_name for row in rows] == ['ACME "BEST", LTD'] * 2
+    # the same day delivered again, with one row more: the day is replaced, not added
+    supplier_file(tmp_path, SUPPLIER_ROW, SUPPLIER_ROW.replace("S1", "S2"))
+    bronze.land_bronze(spark, path, root, "sa_suppliers", "2025-05-02")
+    bronze_incremental(spark, root, "sa_suppliers", target, log)
+    rows = spark.read.parquet(target).collect()
+    assert sorted((str(row.ingested_date), row.supplier_id) for row in rows) == [
+        ("2025-05-01", "S1"),
+        ("2025-05-02", "S1"),
+        ("2025-05-02", "S2"),
+    ]
 
 
 def test_views_and_export(spark, tmp_path, make_suppliers):
