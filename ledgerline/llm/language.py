@@ -12,7 +12,6 @@ learn from, all texts are ``und``. An empty table gives no rows. Other columns a
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,10 +29,14 @@ SPREAD = 6.0
 CHUNK = 256
 
 
-@lru_cache(maxsize=1)
+TABLES: dict[str, np.ndarray] = {}
+
+
 def letter_table() -> np.ndarray:
-    """Whether a code point is a letter."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    """Whether a code point is a letter; made once in a process."""
+    if "letters" not in TABLES:
+        TABLES["letters"] = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    return TABLES["letters"]
 
 
 def gram_counts(text) -> np.ndarray | None:
