@@ -120,8 +120,9 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, doc_id="doc_id",
         kept = np.nonzero(w)[0]
         yield pd.DataFrame({"slot": kept.astype("int32"), "weight": w[kept]})
 
+    # only the sample's sparse rows meet in one task; the texts are read by many
     sparse = rows.mapInPandas(featurise, "doc_id long, label double, slots array<int>, values array<float>")
-    learned = sparse.coalesce(1).mapInPandas(train, "slot int, weight double").toPandas()
+    learned = sparse.repartition(1).mapInPandas(train, "slot int, weight double").toPandas()
     weights = np.zeros(SLOTS + 1, dtype=np.float32)
     weights[learned["slot"].to_numpy(dtype=int)] = learned["weight"].to_numpy(dtype=np.float32)
     return weights
