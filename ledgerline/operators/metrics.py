@@ -25,11 +25,11 @@ def score_cells(scored, score, label, group_cols=()):
     )
 
 
-def auc_from_cells(cells, group_cols=()):
+def auc_from_cells(cells, group_cols=(), carry=()):
     """Area under the ROC curve by ranks: each positive counts the negatives below it, ties half.
 
     Sums are exact integers; the only rounding is the last division. Null when a class is missing.
-    Scores are probabilities. They are ordered by their first 16 bits, their first 32 bits, and the
+    ``carry`` names further counts of the cells that are summed along. Scores are probabilities. They are ordered by their first 16 bits, their first 32 bits, and the
     score itself: however close together they lie, no window holds more than the doubles of one step.
     """
 
@@ -42,11 +42,14 @@ def auc_from_cells(cells, group_cols=()):
     pos, neg = (F.col(c).cast("decimal(18,0)") for c in ("pos", "neg"))
     wins = (2 * F.col("neg_before").cast("decimal(18,0)") + neg) * pos
     totals = ordered.groupBy(*group_cols).agg(
-        F.sum(wins).alias("_wins"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
+        F.sum(wins).alias("_wins"),
+        F.sum("pos").alias("positives"),
+        F.sum("neg").alias("negatives"),
+        *[F.sum(c).alias(c) for c in carry],
     )
     pairs = 2 * F.col("positives").cast("double") * F.col("negatives").cast("double")
     return totals.select(
-        *group_cols, "positives", "negatives", r.share("_wins", pairs).alias("auc")
+        *group_cols, "positives", "negatives", r.share("_wins", pairs).alias("auc"), *carry
     )
 
 
@@ -143,17 +146,17 @@ def model_monitor(scored, month, score="late_probability", label="label", months
     day = r.month_start(month)
     monthly = scored.where(F.col(month).isNotNull()).withColumn("_month", day)
     cells = score_cells(monthly, score, label, ["_month"])
-    present = cells.select(F.col("_month").alias("window_month")).distinct()
     ahead = F.sequence(F.lit(0), F.lit(months - 1))
     repeated = cells.select("*", F.explode(ahead).alias("_ahead")).withColumn(
         "window_month", F.add_months("_month", F.col("_ahead"))
     )
-    in_window = (
-        repeated.join(F.broadcast(present), "window_month", "left_semi")
-        .groupBy("window_month", "score")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    in_window = repeated.groupBy("window_month", "score").agg(
+        F.sum("pos").alias("pos"),
+        F.sum("neg").alias("neg"),
+        r.sum_where(F.col("_ahead") == 0, F.col("pos") + F.col("neg")).alias("of_month"),
     )
-    return auc_from_cells(in_window, ["window_month"]).select(
+    per_window = auc_from_cells(in_window, ["window_month"], carry=["of_month"]).where("of_month > 0")
+    return per_window.select(
         r.month_key("window_month").alias("year_month"),
         "positives",
         "negatives",

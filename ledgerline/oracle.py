@@ -178,6 +178,14 @@ MISMATCH = (
 )
 
 
+# Classes of the paid invoices with their test share; columns of the feature matrix.
+CLASSES = """
+, c AS (
+  SELECT label, count(*) AS n, floor(count(*) * 0.2 + 0.5)::bigint AS n_test FROM labelled GROUP BY 1
+)"""
+FEATURE_COUNT = "(SELECT 13 + count(DISTINCT category) FROM labelled)::integer"
+
+
 def over_views(text):
     """Query text that may start with further common table expressions, as ``, name AS (...)``."""
     return VIEWS + "\n" + text.strip()
@@ -1192,4 +1200,36 @@ FROM bank LEFT JOIN inv ON invoice_reference = invoice_id"""
     ).replace("bank LEFT JOIN inv ON", "(SELECT * EXCLUDE category FROM bank) LEFT JOIN inv ON"),
     "snapshot_diff": DIFF_VIEWS + DIFF + "SELECT * FROM changes",
     "snapshot_changes": DIFF_VIEWS + DIFF + "SELECT change, count(*) AS rows FROM changes GROUP BY 1",
+    **{
+        name: over_views(
+            f"""{CLASSES}
+SELECT '{model}' AS model_type, {FEATURE_COUNT} AS n_features, sum(n - n_test)::bigint AS n_train_rows,
+  sum(n_test)::bigint AS n_test_rows, sum(n_test)::bigint AS confusion_total,
+  true AS auc_agrees, true AS stored_model_agrees {", true AS gradient_vanishes" if name == "train_lr" else ""} FROM c"""
+        )
+        for name, model in [
+            ("train_gbt", "GradientBoosting"), ("train_rf", "RandomForest"), ("train_lr", "LogisticRegression"),
+        ]
+    },
+    "cv_auc": over_views(
+        f"""{CLASSES}
+, f AS (SELECT label, i AS fold, (n - n_test) // 5 + (i < (n - n_test) % 5)::integer AS size FROM c, range(5) t(i))
+SELECT fold::integer AS fold, sum(size) FILTER (WHERE label = 1)::bigint AS positives,
+  sum(size) FILTER (WHERE label = 0)::bigint AS negatives, true AS has_auc FROM f GROUP BY 1"""
+    ),
+    "training_flow": over_views(
+        f"""{CLASSES}
+SELECT '2001-01-01-' || m AS run_id, m AS model_type, {FEATURE_COUNT} AS n_features,
+  (SELECT sum(n - n_test) FROM c)::bigint AS n_train_rows, true AS has_auc, m = 'GradientBoosting' AS is_best
+FROM (VALUES ('GradientBoosting'), ('RandomForest'), ('LogisticRegression')) t(m)"""
+    ),
+    "score_open_invoices": over_views(
+        """
+, daily AS (SELECT supplier_id, invoice_date, count(*) AS n FROM inv GROUP BY 1, 2)
+, earlier AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY supplier_id ORDER BY invoice_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM daily)
+SELECT invoice_id, supplier_id, due_date, amount_incl_vat, before >= 5 AS is_scored,
+  CASE WHEN before >= 5 THEN true END AS tier_agrees
+FROM inv JOIN earlier USING (supplier_id, invoice_date) WHERE invoice_status = 'PENDING'"""
+    ),
 }

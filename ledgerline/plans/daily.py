@@ -4,7 +4,6 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import invoices_with_supplier
 from ledgerline.operators.quality import silver_report
 from ledgerline.operators.silver import (
     silver_bank_transactions,
@@ -12,8 +11,8 @@ from ledgerline.operators.silver import (
     silver_suppliers,
 )
 from ledgerline.plans.gold import cash_flow_monthly, supplier_scorecard, vat_summary
-from ledgerline.plans.training import load_model, score_open_invoices
-from ledgerline.sources.bronze import bronze_snapshot, land_all
+from ledgerline.plans.training import score_with_best
+from ledgerline.sources.bronze import bronze_snapshot, land_all, write_csv
 from ledgerline.sources.sinks import export_gold, read_layer, write_layer, write_scores
 
 
@@ -60,10 +59,11 @@ def row_counts(layer, tables):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def run_day(spark, files, root, run_date, model_path=None):
+def run_day(spark, files, root, run_date, model_root=None):
     """One day. Silver is written once as Parquet, because checks, reports and scoring share it.
 
-    Gives the row counts of the layers.
+    With ``model_root``, the folder of stored runs, pending invoices are scored by the best of them; invoices of
+    suppliers with too short a history go to a list of their own. Gives the row counts of the layers.
     """
     land_all(spark, files, f"{root}/bronze", run_date)
     write_layer(build_silver(spark, f"{root}/bronze", run_date), f"{root}/silver")
@@ -77,8 +77,8 @@ def run_day(spark, files, root, run_date, model_path=None):
     export_gold(gold, f"{root}/export")
 
     counts = row_counts("silver", silver).unionByName(row_counts("gold", gold))
-    if model_path:
-        model, fitted = load_model(spark, model_path)
-        joined = invoices_with_supplier(silver["silver_invoices"], silver["silver_suppliers"])
-        write_scores(score_open_invoices(model, fitted, joined), f"{root}/scores")
+    if model_root:
+        scored, apart = score_with_best(spark, silver["silver_invoices"], silver["silver_suppliers"], model_root)
+        write_scores(scored, f"{root}/scores")
+        write_csv(apart, f"{root}/not_scored")
     return counts

@@ -15,6 +15,8 @@ PROFILE_COLUMNS = [
     "payment_terms_days",
     "late_payment_probability",
 ]
+#: Days, terms and rated probabilities: value counts are small however many rows there are.
+FEW_VALUED = ["days_past_due", "payment_terms_days", "late_payment_probability"]
 CORRELATED_COLUMNS = [
     "amount_incl_vat",
     "vat_amount",
@@ -102,32 +104,44 @@ def late_exposure_by_category(invoices):
     )
 
 
-def profile_bucket():
-    """Whole hundreds for amounts; days and probabilities have few distinct values already."""
-    amount = F.col("metric").isin(PROFILE_COLUMNS[:3])
-    return F.when(amount, F.expr("bigint(value) div 100")).otherwise(
-        F.expr("bigint(value * 10000)")
-    )
-
+def numeric_profile(df, columns=PROFILE_COLUMNS, few_valued=FEW_VALUED):
+    """Count, mean, deviation, extremes and exact quartiles of each column, one row per column.
 
-def numeric_profile(df, columns=PROFILE_COLUMNS):
-    """Count, mean, deviation, extremes and exact quartiles of each column, one row per column."""
-    entries = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("decimal(22,4)").alias("value"))
-        for c in columns
-    ]
-    long = df.select(F.inline(F.array(*entries))).where("value is not null")
-    basics = long.groupBy("metric").agg(
-        F.count("value").alias("count"),
-        r.share(F.sum("value"), F.count("value")).alias("mean"),
-        F.stddev_samp(F.col("value").cast("double")).alias("std"),
-        F.min("value").cast("double").alias("min"),
-        F.max("value").cast("double").alias("max"),
-    )
-    quartiles = exact_quantiles(
-        long, F.col("value"), profile_bucket(), [0.25, 0.5, 0.75], ["metric"], few_groups=True
+    The first four come from one wide aggregate. Quartiles of amounts take two passes over (metric, bucket)
+    counts; those of columns with few distinct values are taken over value counts.
+    """
+    probs = [0.25, 0.5, 0.75]
+    basics = df.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("metric"),
+                F.count(c).alias("count"),
+                r.share(F.sum(F.col(c).cast("decimal(22,4)")), F.count(c)).alias("mean"),
+                F.stddev_samp(F.col(c).cast("double")).alias("std"),
+                F.min(c).cast("double").alias("min"),
+                F.max(c).cast("double").alias("max"),
+            ).alias(c)
+            for c in columns
+        ]
+    ).select(F.inline(F.array(*[F.col(c) for c in columns])))
+
+    def long(names):
+        entries = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("decimal(22,4)").alias("value")) for c in names]
+        return df.select(F.inline(F.array(*entries))).where("value is not null")
+
+    amounts = exact_quantiles(
+        long([c for c in columns if c not in few_valued]),
+        F.col("value"),
+        F.expr("bigint(value) div 100"),
+        probs,
+        ["metric"],
+        few_groups=True,
     )
-    return basics.join(quartiles, "metric").select(
+    counts = long([c for c in columns if c in few_valued]).groupBy("metric", "value").agg(F.count("*").alias("n"))
+    value = F.col("value").cast("double")
+    others = counts.groupBy("metric").agg(*[F.percentile(value, p, F.col("n")).alias(f"q{i}") for i, p in enumerate(probs)])
+    # one row per column on either side
+    return basics.join(F.broadcast(amounts.unionByName(others)), "metric").select(
         "metric",
         "count",
         "mean",
@@ -140,34 +154,37 @@ def numeric_profile(df, columns=PROFILE_COLUMNS):
     )
 
 
-def histogram(df, value, bins):
-    """Equal-width bins between the extremes; the last bin is closed. Empty bins have no row."""
+def histogram(df, value, bins, scales=None):
+    """Equal-width bins between the extremes; the last bin is closed. Empty bins have no row.
+
+    ``scales`` maps names to growing functions of the value: each gives a histogram of its own from the same two
+    passes (extremes, counts), told apart by ``scale``.
+    """
     rows = df.select(value.cast("double").alias("v")).where("v is not null")
-    limits = rows.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("limits"))
-    edges = limits.scalar()
-    placed = rows.withColumns({"lo": edges["lo"], "hi": edges["hi"]}).withColumn(
-        "width", (F.col("hi") - F.col("lo")) / bins
-    )
-    number = F.when(F.col("width") == 0, 0).otherwise(
-        F.floor((F.col("v") - F.col("lo")) / F.col("width"))
-    )
+    edges = rows.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("limits")).scalar()
+    entries = []
+    for name, of in (scales or {"": lambda v: v}).items():
+        lo = of(edges["lo"])
+        width = (of(edges["hi"]) - lo) / bins
+        entries.append(F.struct(F.lit(name).alias("scale"), of(F.col("v")).alias("v"), lo.alias("lo"), width.alias("width")))
+    placed = rows.select(F.inline(F.array(*entries)))
+    number = F.when(F.col("width") == 0, 0).otherwise(F.floor((F.col("v") - F.col("lo")) / F.col("width")))
     counted = placed.groupBy(
-        F.least(number, F.lit(bins - 1)).cast("int").alias("bin"), "lo", "width"
+        "scale", F.least(number, F.lit(bins - 1)).cast("int").alias("bin"), "lo", "width"
     ).agg(F.count("*").alias("n"))
-    return counted.select(
+    binned = counted.select(
+        "scale",
         "bin",
         (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
         (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"),
         "n",
     )
+    return binned if scales else binned.drop("scale")
 
 
 def amount_histogram(invoices, bins=50):
     """Bins of the gross amount and of its log1p."""
-    amount = F.col("amount_incl_vat")
-    raw = histogram(invoices, amount, bins).withColumn("scale", F.lit("raw"))
-    log = histogram(invoices, F.log1p(amount.cast("double")), bins).withColumn("scale", F.lit("log1p"))
-    return raw.unionByName(log)
+    return histogram(invoices, F.col("amount_incl_vat"), bins, {"raw": lambda v: v, "log1p": F.log1p})
 
 
 def amount_median(invoices, approx=False):

@@ -22,9 +22,11 @@ from ledgerline.operators.features import (
     engineer_features,
     fit_features,
 )
-from ledgerline.operators.metrics import class_weights, roc_auc
+from ledgerline.operators.joins import invoices_with_supplier
+from ledgerline.operators.metrics import class_weights, classification_report, roc_auc
 from ledgerline.operators.splits import stratified_folds, stratified_split
 from ledgerline.session import use_checkpoint_dir
+from ledgerline.plans.followup import insufficient_history
 from ledgerline.sources.sinks import SCORE_COLUMNS
 
 RUN_SCHEMA = (
@@ -47,39 +49,39 @@ def training_summary(invoices):
     )
 
 
-def boosted_trees(columns, weight=None, **overrides):
+def boosted_trees(weight=None, **overrides):
     """Boosted trees; the growing lineage is cut every tenth tree in the shared checkpoint folder."""
     params = {**fv.GBT_PARAMS, "checkpointInterval": 10, **overrides}
-    return assembled(columns, GBTClassifier(seed=fv.MODEL_SEED, **params), weight)
+    return assembled(GBTClassifier(seed=fv.MODEL_SEED, **params), weight)
 
 
-def random_forest(columns, weight=None, **overrides):
+def random_forest(weight=None, **overrides):
     params = {**fv.FOREST_PARAMS, **overrides}
-    return assembled(columns, RandomForestClassifier(seed=fv.MODEL_SEED, **params), weight)
+    return assembled(RandomForestClassifier(seed=fv.MODEL_SEED, **params), weight)
 
 
-def logistic(columns, n_rows, weight=None, **overrides):
+def logistic(n_rows, weight=None, **overrides):
     """Standardised features; the penalty 1/n is unit strength on the summed loss."""
     params = {"maxIter": fv.LOGISTIC_MAX_ITER, "regParam": 1.0 / n_rows, **overrides}
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
     model = LogisticRegression(featuresCol="scaled", standardization=False, **params)
-    return assembled(columns, model, weight, scaler)
+    return assembled(model, weight, scaler)
 
 
-def assembled(columns, classifier, weight, *steps):
+def assembled(classifier, weight, *steps):
+    """Stages over the ``features`` vector, which is built once for all fits."""
     if weight:
         classifier.setWeightCol(weight)
-    vector = VectorAssembler(inputCols=columns, outputCol="features")
-    return Pipeline(stages=[vector, *steps, classifier])
+    return Pipeline(stages=[*steps, classifier])
 
 
-def estimator(model_type, columns, n_rows, weight=None, **overrides):
+def estimator(model_type, n_rows, weight=None, **overrides):
     if model_type == "GradientBoosting":
-        return boosted_trees(columns, weight, **overrides)
+        return boosted_trees(weight, **overrides)
     if model_type == "RandomForest":
-        return random_forest(columns, weight, **overrides)
+        return random_forest(weight, **overrides)
     if model_type == "LogisticRegression":
-        return logistic(columns, n_rows, weight, **overrides)
+        return logistic(n_rows, weight, **overrides)
     raise ValueError(model_type)
 
 
@@ -109,39 +111,47 @@ class Prepared:
         self.data.unpersist()
 
 
-def prepare(joined, balanced=False):
-    """Features, label and split of the paid invoices; ``joined`` has the supplier columns.
+def prepare(invoices, suppliers=None, balanced=False):
+    """Features, label and split of the paid invoices, kept for the fits.
 
-    The rows are dealt out by id once and kept, because every tree reads all of them again.
-    ``balanced`` adds a class weight column.
+    Levels, threshold and cut points are found on the invoices; the supplier columns are joined once, after that.
+    Without ``suppliers`` the invoices have them already. The rows are dealt out by id once; the adaptive shuffle picks the number
+    of partitions by size, because every tree reads all of them again. ``balanced`` adds a class weight column.
     """
-    spark = joined.sparkSession
-    labelled = training_set(joined)
+    labelled = training_set(invoices)
     fitted = fit_features(labelled)
-    matrix = engineer_features(labelled, fitted, keep=["invoice_id", "label"])
-    data = stratified_split(matrix, "label", "invoice_id")
+    data = stratified_split(labelled, "label", "invoice_id")
+    if suppliers is not None:
+        data = invoices_with_supplier(data, suppliers)
+    data = engineer_features(data, fitted, keep=["invoice_id", "label", "split"])
     if balanced:
         weights = class_weights(data.where("split = 'train'")).select("label", "weight")
         data = data.join(F.broadcast(weights), "label")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    data = data.repartition(parts, "invoice_id").persist(StorageLevel.MEMORY_AND_DISK)
+    data = vectors(fitted.columns).transform(data).repartition("invoice_id").persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(fitted, data, data.where("split = 'train'").count())
 
 
+def vectors(columns):
+    return VectorAssembler(inputCols=columns, outputCol="features")
+
+
 def cv_auc(prepared, model_type, folds=fv.FOLDS, weight=None, **overrides):
     """AUC of each fold, by a model fitted on the other folds."""
     use_checkpoint_dir(prepared.data.sparkSession)
     folded = stratified_folds(prepared.train, "label", "invoice_id", folds)
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = max(1, prepared.n_train * (folds - 1) // folds)
-    pipeline = estimator(model_type, prepared.fitted.columns, n_rows, weight, **overrides)
+    pipeline = estimator(model_type, n_rows, weight, **overrides)
     parts = []
     for fold in range(folds):
         model = pipeline.fit(folded.where(F.col("fold") != fold))
         held_out = with_probability(model, folded.where(F.col("fold") == fold))
         parts.append(held_out.select("fold", "label", "late_probability"))
     scored = reduce(lambda a, b: a.unionByName(b), parts)
-    return roc_auc(scored, group_cols=["fold"])
+    # one row per fold, cut off from the folds, which can then go
+    per_fold = roc_auc(scored, group_cols=["fold"]).checkpoint()
+    folded.unpersist()
+    return per_fold
 
 
 def cv_summary(per_fold):
@@ -152,10 +162,7 @@ def cv_summary(per_fold):
 
 def fit_model(spark, prepared, model_type, weight=None, **overrides):
     use_checkpoint_dir(spark)
-    pipeline = estimator(
-        model_type, prepared.fitted.columns, prepared.n_train, weight, **overrides
-    )
-    return pipeline.fit(prepared.train)
+    return estimator(model_type, prepared.n_train, weight, **overrides).fit(prepared.train)
 
 
 def run_row(spark, run_id, model_type, prepared, scored_test, per_fold=None):
@@ -211,5 +218,53 @@ def pending_features(joined, fitted, batch_state=False):
 
 def score_open_invoices(model, fitted, joined, batch_state=False):
     """Late probability and tier of every pending invoice; empty when there is none."""
-    scored = with_probability(model, pending_features(joined, fitted, batch_state))
+    pending = vectors(fitted.columns).transform(pending_features(joined, fitted, batch_state))
+    scored = with_probability(model, pending)
     return scored.withColumn("risk_tier", r.risk_tier("late_probability")).select(*SCORE_COLUMNS)
+
+
+MODEL_TYPES = ["GradientBoosting", "RandomForest", "LogisticRegression"]
+
+
+def train_all(spark, invoices, suppliers, root, run_date, with_cv=True, overrides=None):
+    """Fit, cross-validate, evaluate and store the three models; each run gets a row, a report and a model.
+
+    ``overrides`` maps a model type to parameters. Gives the run rows of this call.
+    """
+    use_checkpoint_dir(spark)
+    prepared = prepare(invoices, suppliers)
+    runs = None
+    for model_type in MODEL_TYPES:
+        params = (overrides or {}).get(model_type, {})
+        run_id = f"{run_date}-{model_type}"
+        model = fit_model(spark, prepared, model_type, **params)
+        scored = with_probability(model, prepared.test)
+        per_fold = cv_auc(prepared, model_type, **params) if with_cv else None
+        run = run_row(spark, run_id, model_type, prepared, scored, per_fold)
+        report = classification_report(scored, threshold=0.5).withColumn("run_id", F.lit(run_id))
+        save_model(spark, model, prepared.fitted, f"{root}/models/{run_id}")
+        report.write.mode("overwrite").parquet(f"{root}/reports/{run_id}")
+        append_runs(run, f"{root}/runs")
+        runs = run if runs is None else runs.unionByName(run)
+    prepared.release()
+    return runs
+
+
+def load_best(spark, root):
+    """Run id, model and feature state of the best stored run."""
+    best = best_run(spark.read.parquet(f"{root}/runs")).first()
+    return (best.run_id, *load_model(spark, f"{root}/models/{best.run_id}"))
+
+
+def score_with_best(spark, invoices, suppliers, root):
+    """Pending invoices of suppliers with enough history, scored by the best run; the others are set apart.
+
+    Gives (scored, set apart).
+    """
+    run_id, model, fitted = load_best(spark, root)
+    pending = invoices.where(r.has_status("PENDING"))
+    flagged = insufficient_history(pending, invoices).where("insufficient_history").select("invoice_id")
+    known = pending.join(flagged, "invoice_id", "left_anti")
+    scored = score_open_invoices(model, fitted, invoices_with_supplier(known, suppliers))
+    apart = pending.join(flagged, "invoice_id", "left_semi").select(*SCORED_INPUT)
+    return scored.withColumn("run_id", F.lit(run_id)), apart

@@ -2,6 +2,8 @@
 
 from decimal import Decimal
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerline.functions import rules as r
@@ -14,7 +16,7 @@ from ledgerline.operators.silver import (
     without_audit,
 )
 from ledgerline.plans import benchmark, daily, explore, followup, gold, operations, training
-from ledgerline.session import shared_dir
+from ledgerline.session import shared_dir, use_checkpoint_dir
 from ledgerline.sources import binding, bronze, sinks, spoiled
 from ledgerline.sources.binding import AS_OF
 from ledgerline.streaming.incremental import bronze_incremental
@@ -720,7 +722,8 @@ def financing_cost(spark, d):
 
 @query
 def features(spark, d):
-    matrix = ft.engineer_features(joined(spark, d), keep=["invoice_id"])
+    fitted = ft.fit_features(invoices(spark, d))
+    matrix = ft.engineer_features(joined(spark, d), fitted, keep=["invoice_id"])
     return rounded(matrix, 6, "log_invoice_amount")
 
 
@@ -728,7 +731,8 @@ def features(spark, d):
 def align_features(spark, d):
     """Pending invoices with the state of their own batch, in the columns fitted on paid ones."""
     everything = joined(spark, d)
-    fitted = ft.FittedFeatures(0.0, ft.category_levels(training.training_set(everything)))
+    paid = training.training_set(invoices(spark, d))
+    fitted = ft.FittedFeatures(0.0, ft.category_levels(paid))
     return rounded(
         training.pending_features(everything, fitted, batch_state=True), 6, "log_invoice_amount"
     )
@@ -837,47 +841,112 @@ def best_run(spark, d):
 # Model training
 
 
-def evaluated(spark, d, model_type, with_cv=False):
-    prepared = training.prepare(joined(spark, d))
+def evaluated(spark, d, model_type):
+    """Fit, score the test share, store and load again; what must hold whatever the coefficients are."""
+    use_checkpoint_dir(spark)
+    prepared = training.prepare(invoices(spark, d), suppliers(spark, d))
     model = training.fit_model(spark, prepared, model_type)
+    path = shared_dir(spark, "model")
+    training.save_model(spark, model, prepared.fitted, path)
+    loaded, _ = training.load_model(spark, path)
     scored = training.with_probability(model, prepared.test)
-    per_fold = training.cv_auc(prepared, model_type) if with_cv else None
-    run = training.run_row(spark, f"run-{model_type}", model_type, prepared, scored, per_fold)
-    prepared.release()
-    return run
+    again = training.with_probability(loaded, prepared.test)
+    pairs = scored.select("invoice_id", "late_probability").join(
+        again.select("invoice_id", F.col("late_probability").alias("again")), "invoice_id"
+    )
+    other_auc = BinaryClassificationEvaluator(numBins=0).evaluate(scored)
+    support = metrics.classification_report(scored).where("class in ('On-time', 'Late')")
+    row = (
+        model_type,
+        len(prepared.fitted.columns),
+        prepared.n_train,
+        scored.count(),
+        support.agg(F.sum("support")).first()[0],
+        abs(metrics.roc_auc(scored).first().auc - other_auc) < 1e-9,
+        pairs.where("late_probability <> again").count() == 0,
+    )
+    result = spark.createDataFrame(
+        [row],
+        "model_type string, n_features int, n_train_rows long, n_test_rows long, confusion_total long, "
+        "auc_agrees boolean, stored_model_agrees boolean",
+    )
+    return result, model, prepared
 
 
 @query
 def train_gbt(spark, d):
-    return evaluated(spark, d, "GradientBoosting")
+    result, _, prepared = evaluated(spark, d, "GradientBoosting")
+    prepared.release()
+    return result
 
 
 @query
 def train_rf(spark, d):
-    return evaluated(spark, d, "RandomForest")
+    result, _, prepared = evaluated(spark, d, "RandomForest")
+    prepared.release()
+    return result
 
 
 @query
 def train_lr(spark, d):
-    return evaluated(spark, d, "LogisticRegression")
+    """Also: the gradient of the penalised loss vanishes at the fitted coefficients."""
+    result, model, prepared = evaluated(spark, d, "LogisticRegression")
+    fit = model.stages[-1]
+    rows = training.with_probability(model, prepared.train)
+    error = F.col("late_probability") - F.col("label")
+    parts = rows.select(error.alias("e"), F.posexplode(vector_to_array("scaled")).alias("i", "x"))
+    slopes = parts.groupBy("i").agg(F.avg(F.col("e") * F.col("x")).alias("g")).collect()
+    penalty = fit.getRegParam()
+    steepest = max(abs(row.g + penalty * fit.coefficients[row.i]) for row in slopes)
+    prepared.release()
+    return result.withColumn("gradient_vanishes", F.lit(bool(steepest < 1e-3)))
 
 
 @query
 def cv_auc(spark, d):
-    return evaluated(spark, d, "LogisticRegression", with_cv=True)
+    """Cross-validation of the logistic model: the folds' classes, and whether each fold has an AUC."""
+    prepared = training.prepare(invoices(spark, d), suppliers(spark, d))
+    per_fold = training.cv_auc(prepared, "LogisticRegression")
+    prepared.release()
+    return per_fold.select("fold", "positives", "negatives", F.col("auc").between(0, 1).alias("has_auc"))
+
+
+#: Short fits for the two queries that run the whole training flow; ``train_gbt`` and ``train_rf`` fit in full.
+SHORT = {"GradientBoosting": {"maxIter": 5}, "RandomForest": {"numTrees": 10}}
+
+
+@query
+def training_flow(spark, d):
+    """Three models with cross-validation, run rows, reports and stored models; the best run leads to its model."""
+    root = shared_dir(spark, "flow")
+    inv, sup = invoices(spark, d), suppliers(spark, d)
+    training.train_all(spark, inv, sup, root, "2001-01-01", overrides=SHORT)
+    run_id, model, fitted = training.load_best(spark, root)
+    runs = spark.read.parquet(f"{root}/runs")
+    return runs.select(
+        "run_id",
+        "model_type",
+        "n_features",
+        "n_train_rows",
+        (F.col("cv_auc_mean").between(0, 1) & F.col("test_auc").between(0, 1)).alias("has_auc"),
+        (F.col("run_id") == run_id).alias("is_best"),
+    )
 
 
 @query
 def score_open_invoices(spark, d):
-    """Fit on paid invoices, save, load, score the pending ones."""
-    everything = joined(spark, d)
-    prepared = training.prepare(everything)
-    model = training.fit_model(spark, prepared, "LogisticRegression")
-    path = shared_dir(spark, "model")
-    training.save_model(spark, model, prepared.fitted, path)
-    prepared.release()
-    loaded, fitted = training.load_model(spark, path)
-    return training.score_open_invoices(loaded, fitted, everything)
+    """Pending invoices scored by the best stored run; those with too short a history are set apart."""
+    root = shared_dir(spark, "scoring")
+    inv, sup = invoices(spark, d), suppliers(spark, d)
+    training.train_all(spark, inv, sup, root, "2001-01-01", with_cv=False, overrides=SHORT)
+    scored, apart = training.score_with_best(spark, inv, sup, root)
+    p = F.col("late_probability")
+    tier = F.when(p >= 0.6, "HIGH").when(p >= 0.3, "MEDIUM").otherwise("LOW")
+    columns = ["invoice_id", "supplier_id", "due_date", "amount_incl_vat"]
+    good = p.between(0, 1) & (F.col("risk_tier") == tier)
+    return scored.select(*columns, F.lit(True).alias("is_scored"), good.alias("tier_agrees")).unionByName(
+        apart.select(*columns, F.lit(False).alias("is_scored"), F.lit(None).cast("boolean").alias("tier_agrees"))
+    )
 
 
 # Follow-up

@@ -23,7 +23,7 @@ HEADLINES = [
     "model_monitor",
     "rolling_compliance_90d",
 ]
-WITHOUT_SQL = {"train_gbt", "train_rf", "train_lr", "cv_auc", "score_open_invoices"}
+WITHOUT_SQL = set()
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
