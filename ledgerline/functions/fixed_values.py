@@ -34,10 +34,6 @@ PRIOR_BASE = Decimal("0.10")
 PRIOR_WEIGHT = Decimal("0.30")
 PRIOR_SCALE = 150000
 
-# Seasonal months and factor
-SEASONAL_MONTHS = [1, 11, 12]
-SEASONAL_FACTOR = Decimal("1.2")
-
 # thresholds
 SCORECARD_HIGH_PCT = 40
 SCORECARD_MEDIUM_PCT = 20
@@ -109,38 +105,14 @@ PRIME_RATES = {
 PRIME_RATE_BEFORE_TABLE = 11.75
 FINANCING_RATE = Decimal("0.105")
 
-# Published government payment performance, two years
-TREASURY_TREND = [
-    ("National: Paid Late", 111282, 108917),
-    ("National: Unpaid at Year-End", 1149, 1427),
-    ("Provincial: Paid Late", 231780, 253151),
-    ("Provincial: Unpaid at Year-End", 73974, 113481),
-    ("Total: Paid Late", 343062, 362068),
-    ("Total: Unpaid at Year-End", 75123, 114908),
-]
-
-# Published invoices by province, (count, value in R million)
-PROVINCE_PAID_LATE = [
-    ("Gauteng", 85331, 7965.0),
-    ("North West", 49922, 3372.0),
-    ("Eastern Cape", 49921, 5773.0),
-    ("KwaZulu-Natal", 42884, 9471.0),
-    ("Free State", 10120, 1302.0),
-    ("Northern Cape", 7550, 861.0),
-    ("Western Cape", 4125, 399.0),
-    ("Mpumalanga", 2281, 1066.0),
-    ("Limpopo", 1017, 305.0),
-]
-PROVINCE_UNPAID = [
-    ("Eastern Cape", 73449, 4547.0),
-    ("Gauteng", 19262, 2765.0),
-    ("North West", 11180, 784.0),
-    ("Free State", 3752, 753.0),
-    ("Northern Cape", 3007, 690.0),
-    ("KwaZulu-Natal", 1760, 905.0),
-    ("Mpumalanga", 982, 161.0),
-    ("Western Cape", 86, 6.0),
-    ("Limpopo", 3, 0.15),
+# The six rated indicators, in report order
+KPI_NAMES = [
+    "Late Payment Rate",
+    "Unpaid Invoice Age",
+    "YoY Late Payment Trend",
+    "VAT Input Tax %",
+    "VAT Mismatch Rate",
+    "Payment Terms Compliance",
 ]
 
 # Classifier settings

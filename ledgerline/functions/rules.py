@@ -101,11 +101,6 @@ def derive_is_late(paid_after_due, is_paid):
     return as_column(paid_after_due) & as_column(is_paid)
 
 
-def seasonal_factor(invoice_date):
-    in_season = F.month(as_column(invoice_date)).isin(fv.SEASONAL_MONTHS)
-    return F.when(in_season, F.lit(fv.SEASONAL_FACTOR)).otherwise(F.lit(1)).cast("decimal(2,1)")
-
-
 def supplier_prior(average, scale=fv.PRIOR_SCALE):
     """Expected share of late payments from the supplier's average invoice value."""
     share = money(average) / F.lit(scale) * F.lit(fv.PRIOR_WEIGHT)

@@ -4,8 +4,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import rules as r
 
-SHARED_COLUMNS = ["category", "payment_terms_days"]
-
 
 def pick_column(df, *candidates):
     """First of the candidate names the table has, resolved when the plan is built."""

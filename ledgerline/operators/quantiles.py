@@ -1,18 +1,20 @@
 """Exact order statistics in two passes, without a per-group state that grows with the data."""
 
-from pyspark.sql import Window
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import cumulative_before
 
 
-def select_ranks(df, value, bucket, ranks, group_cols=(), few_groups=False):
+def select_ranks(df, value, bucket, ranks, group_cols=(), few_groups=False, coarse=None):
     """The values at given zero-based ranks of each group, ascending, nulls left out.
 
     Pass one counts rows per bucket and finds the bucket of each wanted rank. Pass two reads only the
     rows of those buckets and counts them per value. ``bucket`` is a column that grows with ``value``;
-    the buckets of a group meet in one task, the values of a bucket in another. ``ranks`` turns the
-    group size column into an array of ranks. With ``few_groups`` the caller vouches that the groups
+    the values of a bucket meet in one task. So do the buckets of a group; where the value range makes them many,
+    ``coarse`` (bucket column -> column) puts a level above them. ``ranks`` turns the group size column into an
+    array of ranks. With ``few_groups`` the caller vouches that the groups
     are a short fixed list; then the wanted buckets, at most one per group and rank, are broadcast.
 
     Gives group_cols, pos (index in the array), rank, value and group_size.
@@ -22,9 +24,10 @@ def select_ranks(df, value, bucket, ranks, group_cols=(), few_groups=False):
     keys = [*group_cols, "_b"]
     rows = df.select(*group_cols, value.alias("_v"), bucket.alias("_b")).where("_v is not null")
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    counts = cumulative_before(sizes, ["_b"], ["n"], group_cols).withColumn(
-        "group_size", F.sum("n").over(Window.partitionBy(*group_cols))
-    )
+    levels = ["_b"]
+    if coarse is not None:
+        sizes, levels = sizes.withColumn("_c", coarse(F.col("_b"))), ["_c", "_b"]
+    counts = with_group_size(cumulative_before(sizes, levels, ["n"], group_cols), sizes, group_cols)
     wanted = (
         counts.select("*", F.posexplode(ranks(F.col("group_size"))).alias("pos", "rank"))
         .where((F.col("rank") >= F.col("n_before")) & (F.col("rank") < F.col("n_before") + F.col("n")))
@@ -42,7 +45,16 @@ def select_ranks(df, value, bucket, ranks, group_cols=(), few_groups=False):
     )
 
 
-def exact_quantiles(df, value, bucket, probs, group_cols=(), few_groups=False):
+def with_group_size(counts, sizes, group_cols):
+    """Add ``group_size``, the sum of ``n``: by partial sums, since a window would gather a group's buckets."""
+    if not group_cols:
+        return counts.withColumn("group_size", sizes.agg(F.sum("n")).scalar())
+    totals = sizes.groupBy(*[F.col(c).alias(f"_of_{c}") for c in group_cols]).agg(F.sum("n").alias("group_size"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group_cols])
+    return counts.join(totals, same).drop(*[f"_of_{c}" for c in group_cols])
+
+
+def exact_quantiles(df, value, bucket, probs, group_cols=(), few_groups=False, coarse=None):
     """Quantiles with linear interpolation: one row per group, one column ``q<i>`` per probability."""
 
     def place(size, p):
@@ -53,7 +65,7 @@ def exact_quantiles(df, value, bucket, probs, group_cols=(), few_groups=False):
         highs = [F.ceil(place(size, p)).cast("long") for p in probs]
         return F.array(*lows, *highs)
 
-    picked = select_ranks(df, value, bucket, ranks, group_cols, few_groups)
+    picked = select_ranks(df, value, bucket, ranks, group_cols, few_groups, coarse)
     n = len(probs)
     found = picked.groupBy(*group_cols).agg(
         F.max("group_size").alias("_size"),
@@ -76,6 +88,11 @@ def money_bucket(c):
     return F.expr(f"bigint({c}) div 100")
 
 
+def money_millions(bucket):
+    """The level above: 10,000 hundreds, so amounts up to 10**10 have 10,000 of them."""
+    return F.floor(bucket / 10000)
+
+
 def money_quantiles(df, c, probs, group_cols=(), approx=False):
     """Quantiles of an amount column; ``approx`` trades exactness for a single pass."""
     if approx:
@@ -85,4 +102,4 @@ def money_quantiles(df, c, probs, group_cols=(), approx=False):
             for i, p in enumerate(probs)
         ]
         return group.agg(*values)
-    return exact_quantiles(df, F.col(c), money_bucket(c), probs, group_cols)
+    return exact_quantiles(df, F.col(c), money_bucket(c), probs, group_cols, coarse=money_millions)

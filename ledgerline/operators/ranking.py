@@ -2,8 +2,8 @@
 
 A plain window without partition keys sends every row to one task. Here the rows are first grouped to
 cells, the cells are ordered by levels from coarse to fine, and each level's running sum is a window
-inside the level above. Only the coarsest totals meet in one task, and their number is chosen by the
-caller, not by the data.
+inside the level above. Only the coarsest totals meet in one task: the caller picks levels whose coarsest
+has few values.
 """
 
 from functools import reduce

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import fixed_values as fv
 from ledgerline.functions import rules as r
-from ledgerline.operators.quantiles import exact_quantiles, money_quantiles
+from ledgerline.operators.quantiles import exact_quantiles, money_millions, money_quantiles
 
+# The published columns of the profile and of the correlations
 PROFILE_COLUMNS = [
     "amount_excl_vat",
     "vat_amount",
@@ -136,6 +137,7 @@ def numeric_profile(df, columns=PROFILE_COLUMNS, few_valued=FEW_VALUED):
         probs,
         ["metric"],
         few_groups=True,
+        coarse=money_millions,
     )
     counts = long([c for c in columns if c in few_valued]).groupBy("metric", "value").agg(F.count("*").alias("n"))
     value = F.col("value").cast("double")

@@ -66,6 +66,7 @@ def supplier_metrics(invoices):
     return metrics.withColumn("payment_risk_tier", tier)
 
 
+# The published columns of the scorecard
 MASTER_COLUMNS = [
     "supplier_name",
     "category",

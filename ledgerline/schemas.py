@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# The columns of the three delivered files
 BRONZE_COLUMNS = {
     "sa_invoices": [
         "invoice_id",

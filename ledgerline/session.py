@@ -1,5 +1,7 @@
 """Session settings and the shared work folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,13 +28,15 @@ def build_session(app_name="ledgerline", master=None, **conf):
 def shared_dir(spark, name):
     """A fresh folder under ``spark.checkpoint.dir``, the folder every executor can reach.
 
-    Only a local-master session (tests) may go without the setting; there it gets a temporary folder.
+    Only a local-master session (tests) may go without the setting; there it gets a temporary folder, which is
+    removed when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
