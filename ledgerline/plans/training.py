@@ -226,7 +226,7 @@ def score_open_invoices(model, fitted, joined, batch_state=False):
 MODEL_TYPES = ["GradientBoosting", "RandomForest", "LogisticRegression"]
 
 
-def train_all(spark, invoices, suppliers, root, run_date, with_cv=True, overrides=None):
+def train_all(spark, invoices, suppliers, root, run_date, with_cv=True, overrides=None, folds=fv.FOLDS):
     """Fit, cross-validate, evaluate and store the three models; each run gets a row, a report and a model.
 
     ``overrides`` maps a model type to parameters. Gives the run rows of this call.
@@ -239,7 +239,7 @@ def train_all(spark, invoices, suppliers, root, run_date, with_cv=True, override
         run_id = f"{run_date}-{model_type}"
         model = fit_model(spark, prepared, model_type, **params)
         scored = with_probability(model, prepared.test)
-        per_fold = cv_auc(prepared, model_type, **params) if with_cv else None
+        per_fold = cv_auc(prepared, model_type, folds, **params) if with_cv else None
         run = run_row(spark, run_id, model_type, prepared, scored, per_fold)
         report = classification_report(scored, threshold=0.5).withColumn("run_id", F.lit(run_id))
         save_model(spark, model, prepared.fitted, f"{root}/models/{run_id}")

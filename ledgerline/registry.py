@@ -911,7 +911,7 @@ def cv_auc(spark, d):
     return per_fold.select("fold", "positives", "negatives", F.col("auc").between(0, 1).alias("has_auc"))
 
 
-#: Short fits for the two queries that run the whole training flow; ``train_gbt`` and ``train_rf`` fit in full.
+#: Short fits for the two queries that run the whole training flow; ``train_gbt``, ``train_rf`` and ``cv_auc`` fit in full.
 SHORT = {"GradientBoosting": {"maxIter": 5}, "RandomForest": {"numTrees": 10}}
 
 
@@ -920,7 +920,7 @@ def training_flow(spark, d):
     """Three models with cross-validation, run rows, reports and stored models; the best run leads to its model."""
     root = shared_dir(spark, "flow")
     inv, sup = invoices(spark, d), suppliers(spark, d)
-    training.train_all(spark, inv, sup, root, "2001-01-01", overrides=SHORT)
+    training.train_all(spark, inv, sup, root, "2001-01-01", overrides=SHORT, folds=2)
     run_id, model, fitted = training.load_best(spark, root)
     runs = spark.read.parquet(f"{root}/runs")
     return runs.select(

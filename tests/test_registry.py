@@ -1,4 +1,4 @@
-"""Registered queries: all have a result schema; headline ones agree with their SQL on real tables."""
+"""Registered queries agree with their SQL on the supplied tables."""
 
 import os
 
@@ -11,18 +11,8 @@ from ledgerline.oracle import ORACLE_SQL
 from ledgerline.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-HEADLINES = [
-    "vat_summary",
-    "supplier_scorecard",
-    "cash_flow_monthly",
-    "dq_silver_report",
-    "bank_reconciliation",
-    "overdue_boxplot",
-    "rag_scorecard",
-    "stratified_folds",
-    "model_monitor",
-    "rolling_compliance_90d",
-]
+#: Hundreds of small jobs each; the unit tests of the models fit shorter ones. check_oracle.py compares them too.
+LONG = {"train_gbt", "train_rf", "training_flow"}
 WITHOUT_SQL = set()
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
@@ -58,8 +48,8 @@ def test_join_states_all_occur(spark):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", HEADLINES)
-def test_headline_agrees_with_sql(spark, name):
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LONG))
+def test_query_agrees_with_sql(spark, name):
     db = duckdb.connect()
     for table in check_oracle.TABLES:
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")

@@ -12,7 +12,7 @@ from ledgerline.operators.features import (
     fit_features,
 )
 from ledgerline.operators.joins import invoices_with_supplier
-from ledgerline.operators.quality import dq_not_null
+from ledgerline.operators.quality import dq_not_null, silver_report
 from ledgerline.plans import daily, training
 from ledgerline.schemas import BRONZE_COLUMNS
 from ledgerline.sources import bronze, sinks
@@ -279,3 +279,37 @@ def test_quality_gate_stops_the_day(make_invoices, make_suppliers, make_bank):
         daily.require_quality(dq_not_null(tables))
     tables["silver_invoices"] = make_invoices({})
     daily.require_quality(dq_not_null(tables))
+
+
+def test_unknown_supplier_stops_the_day(make_invoices, make_suppliers, make_bank):
+    report = silver_report(make_invoices({"supplier": "S1"}, {"supplier": "S2"}), make_suppliers("S1"), make_bank({"debit": 1}))
+    rows = {(row.check_name, row.table): row for row in report.collect()}
+    assert (rows["known", "silver_invoices"].rows_checked, rows["known", "silver_invoices"].failing_rows) == (2, 1)
+    with pytest.raises(daily.QualityError, match="known: 1"):
+        daily.require_quality(report)
+    wrong_tax = make_invoices({"vat_status": "VAT_MISMATCH"})
+    warned = silver_report(wrong_tax, make_suppliers("S1"), make_bank({"debit": 1}))
+    assert warned.where("check_name = 'vat_accuracy'").first().status == "WARN"
+    daily.require_quality(warned)
+
+
+def test_training_flow_leads_from_runs_to_scores(spark, tmp_path, make_invoices, make_suppliers):
+    rows = [
+        {"id": f"P{i}", "supplier": f"S{i % 2}", "incl": 100 + i, "late": i % 2 == 1, "date": f"2024-0{1 + i % 9}-11"}
+        for i in range(60)
+    ]
+    rows += [{"id": f"O{i}", "supplier": s, "paid": False, "date": "2024-12-01"} for i, s in enumerate(["S0", "S1", "NEW"])]
+    masters = make_suppliers("S0", "NEW", prior="0.1000").unionByName(make_suppliers("S1", prior="0.3900"))
+    root = str(tmp_path)
+    short = {"GradientBoosting": {"maxIter": 2}, "RandomForest": {"numTrees": 2}, "LogisticRegression": {"maxIter": 5}}
+    training.train_all(spark, make_invoices(*rows), masters, root, "d1", overrides=short, folds=2)
+    runs = spark.read.parquet(f"{root}/runs").collect()
+    assert sorted(run.model_type for run in runs) == sorted(training.MODEL_TYPES)
+    assert all(run.cv_auc_mean is not None for run in runs)
+    assert spark.read.parquet(f"{root}/reports/d1-RandomForest").count() == 5
+    run_id, _, _ = training.load_best(spark, root)
+    assert run_id == "d1-GradientBoosting"
+    scored, apart = training.score_with_best(spark, make_invoices(*rows), masters, root)
+    assert {row.invoice_id: row.run_id for row in scored.collect()} == {"O0": run_id, "O1": run_id}
+    assert [row.invoice_id for row in apart.collect()] == ["O2"]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
