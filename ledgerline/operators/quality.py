@@ -175,31 +175,34 @@ def dq_formats(suppliers):
     )
 
 
-def keyed_checks(df, table, key, checks, unique="error", known=None):
-    """Row checks of a table and the uniqueness of a key from one read: counts per key, then their totals.
+def key_counts(df, key, checks, prefix=""):
+    """One row per value of a key: rows (``n``), and rows that break each check (``f0``, ``f1``, ...)."""
+    counts = [r.count_where(c.failing).alias(f"{prefix}f{i}") for i, c in enumerate(checks)]
+    return df.groupBy(F.col(key).alias(f"{prefix}key")).agg(F.count("*").alias(f"{prefix}n"), *counts)
 
-    ``known`` names the table of that key that each row must have an entry in (column, keys).
-    """
-    counts = [r.count_where(c.failing).alias(f"f{i}") for i, c in enumerate(checks)]
-    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("n"), *counts)
-    per_key = per_key.withColumn("_orphans", F.lit(0).cast("long"))
-    if known is not None:
-        keys = known.select(F.col(key).alias("_known")).where("_known is not null").distinct()
-        missing = F.when(F.col("_key").isNotNull() & F.col("_known").isNull(), F.col("n")).otherwise(0)
-        per_key = per_key.join(keys, F.col("_key") == F.col("_known"), "left").withColumn("_orphans", missing)
-    has_key = F.col("_key").isNotNull()
-    zero = F.lit(0).cast("long")
-    totals = per_key.agg(
-        F.coalesce(F.sum("n"), zero).alias("_rows"),
-        F.coalesce(F.sum(F.when(has_key, F.col("n"))), zero).alias("_keyed"),
-        r.count_where(has_key & (F.col("n") > 1)).alias("_repeated"),
-        F.coalesce(F.sum("_orphans"), zero).alias("_orphans"),
-        *[F.coalesce(F.sum(f"f{i}"), zero).alias(f"f{i}") for i in range(len(checks))],
-    )
-    lines = [(c.name, c.column, c.severity, "_rows", f"f{i}") for i, c in enumerate(checks)]
-    lines.append(("unique", key, unique, "_keyed", "_repeated"))
-    if known is not None:
-        lines.append(("known", key, "error", "_keyed", "_orphans"))
+
+def key_totals(checks, prefix=""):
+    """Totals over key counts: rows, rows with a key, repeated keys, rows that break each check."""
+
+    def total(column):
+        return F.coalesce(F.sum(column), F.lit(0).cast("long"))
+
+    n, has_key = F.col(f"{prefix}n"), F.col(f"{prefix}key").isNotNull()
+    return [
+        total(n).alias(f"{prefix}rows"),
+        total(F.when(has_key, n)).alias(f"{prefix}keyed"),
+        r.count_where(has_key & (n > 1)).alias(f"{prefix}repeated"),
+        *[total(f"{prefix}f{i}").alias(f"{prefix}f{i}") for i in range(len(checks))],
+    ]
+
+
+def key_lines(table, key, checks, unique, prefix=""):
+    """Report rows of a table, from the totals: (name, table, column, severity, rows checked, failing rows)."""
+    lines = [(c.name, table, c.column, c.severity, f"{prefix}rows", f"{prefix}f{i}") for i, c in enumerate(checks)]
+    return [*lines, ("unique", table, key, unique, f"{prefix}keyed", f"{prefix}repeated")]
+
+
+def report_rows(totals, lines):
     entries = [
         F.struct(
             F.lit(name).alias("check_name"),
@@ -209,13 +212,19 @@ def keyed_checks(df, table, key, checks, unique="error", known=None):
             F.col(checked).alias("rows_checked"),
             F.col(failing).alias("failing_rows"),
         )
-        for name, column, severity, checked, failing in lines
+        for name, table, column, severity, checked, failing in lines
     ]
     return totals.select(F.inline(F.array(*entries))).withColumn(
         "status", status_of(F.col("failing_rows"), F.col("severity"))
     )
 
 
+def keyed_checks(df, table, key, checks, unique="error"):
+    """Row checks of a table and the uniqueness of a key, from one read."""
+    totals = key_counts(df, key, checks).agg(*key_totals(checks))
+    return report_rows(totals, key_lines(table, key, checks, unique))
+
+
 def dq_unique_ids(suppliers, invoices):
     """Ids are there and occur once; nothing in the data model itself makes an invoice id unique."""
     return union_all(
@@ -318,10 +327,19 @@ def silver_report(invoices, suppliers, bank):
     ]
     on_suppliers = not_null(*NOT_NULL_COLUMNS["silver_suppliers"])
     on_bank = not_null(*NOT_NULL_COLUMNS["silver_bank_transactions"])
-    return union_all(
-        [
-            keyed_checks(invoices, name, "supplier_id", on_invoices, "warn", known=suppliers),
-            keyed_checks(suppliers, "silver_suppliers", "supplier_id", on_suppliers, "warn"),
-            run_checks(bank, "silver_bank_transactions", on_bank),
-        ]
+    # both tables' counts per supplier meet once: what has no partner on the right are unknown suppliers
+    per_supplier = key_counts(invoices, "supplier_id", on_invoices, "i_").join(
+        key_counts(suppliers, "supplier_id", on_suppliers, "s_"), F.col("i_key").eqNullSafe(F.col("s_key")), "full"
     )
+    unknown = F.when(F.col("i_key").isNotNull() & F.col("s_key").isNull(), F.col("i_n"))
+    totals = per_supplier.agg(
+        *key_totals(on_invoices, "i_"),
+        *key_totals(on_suppliers, "s_"),
+        F.coalesce(F.sum(unknown), F.lit(0).cast("long")).alias("unknown"),
+    )
+    lines = [
+        *key_lines(name, "supplier_id", on_invoices, "warn", "i_"),
+        *key_lines("silver_suppliers", "supplier_id", on_suppliers, "warn", "s_"),
+        ("known", name, "supplier_id", "error", "i_keyed", "unknown"),
+    ]
+    return report_rows(totals, lines).unionByName(run_checks(bank, "silver_bank_transactions", on_bank))

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -111,14 +112,19 @@ class Prepared:
         self.data.unpersist()
 
 
+PARTITION_ROWS = 50_000
+
+
 def prepare(invoices, suppliers=None, balanced=False):
     """Features, label and split of the paid invoices, kept for the fits.
 
     Levels, threshold and cut points are found on the invoices; the supplier columns are joined once, after that.
-    Without ``suppliers`` the invoices have them already. The rows are dealt out by id once; the adaptive shuffle picks the number
-    of partitions by size, because every tree reads all of them again. ``balanced`` adds a class weight column.
+    Without ``suppliers`` the invoices have them already. The rows are dealt out by id once, one partition for every
+    ``PARTITION_ROWS``: a fit is hundreds of passes over them, and each pays for its tasks. ``balanced`` adds a class
+    weight column.
     """
     labelled = training_set(invoices)
+    parts = max(1, ceil(labelled.count() / PARTITION_ROWS))
     fitted = fit_features(labelled)
     data = stratified_split(labelled, "label", "invoice_id")
     if suppliers is not None:
@@ -127,7 +133,7 @@ def prepare(invoices, suppliers=None, balanced=False):
     if balanced:
         weights = class_weights(data.where("split = 'train'")).select("label", "weight")
         data = data.join(F.broadcast(weights), "label")
-    data = vectors(fitted.columns).transform(data).repartition("invoice_id").persist(StorageLevel.MEMORY_AND_DISK)
+    data = vectors(fitted.columns).transform(data).repartition(parts, "invoice_id").persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(fitted, data, data.where("split = 'train'").count())
 
 

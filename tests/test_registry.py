@@ -1,6 +1,7 @@
 """Registered queries agree with their SQL on the supplied tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -36,6 +37,29 @@ def test_every_report_has_a_failing_check(spark, name):
     assert any(row.get("failing_rows", row.get("missing_count", row.get("n_records", 0))) > 0 for row in rows)
 
 
+def scans(df):
+    """Tables read by the final plan, by their first column."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = re.sub(r"\+- == Initial Plan ==.*?(?=\n\S|\Z)", "", plan, flags=re.S)
+    return sorted(re.findall(r"FileScan parquet \[(\w)", plan))
+
+
+@needs_tables
+@pytest.mark.parametrize(
+    "name, tables",
+    [
+        ("dq_unique_ids", ["l", "n", "s"]),
+        ("model_monitor", ["l", "n", "s"]),
+        ("features", ["l", "n", "s"]),
+        ("dq_silver_report", ["l", "l", "n", "o", "s"]),
+    ],
+)
+def test_tables_are_read_once(spark, name, tables):
+    """The ledger is made of invoices and orders, so the quality report reads the invoices for both."""
+    assert scans(queries()[name](spark, FOLDER)) == tables
+
+
 @needs_tables
 def test_join_states_all_occur(spark):
     states = queries()["audit_log"](spark, FOLDER).select("match_status").distinct().count()
