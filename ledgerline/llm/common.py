@@ -20,7 +20,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows in a batch of texts on its way to Python: a thousandth of a split or so, and small even if texts are long.
+BATCH_ROWS = 256
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Workers hold one batch at a time; the default of 10,000 rows may be gigabytes of long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def n_words(text):

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import bound_batches
 from ledgerline.llm.quality_model import hash_share
 
 SLOTS = 4096
@@ -122,6 +123,7 @@ class Languages:
 
 def learn(docs: DataFrame, learnable: Column, doc_id="doc_id", text="text", lang="lang", store=None) -> Languages:
     """Fits on rows that satisfy ``learnable`` (a condition over ``doc_id``) and have a language."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
     ).where(learnable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())

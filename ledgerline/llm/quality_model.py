@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import bound_batches
 from ledgerline.llm.hashing import WordIds, mix
 
 SLOTS = 1 << 18
@@ -81,6 +82,7 @@ def hash_share(column: Column, share: float) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, doc_id="doc_id", text="text", label="quality") -> np.ndarray:
     """Weights of all slots and the intercept. ``learnable`` is a condition over the labels' ``doc_id``."""
+    bound_batches(docs.sparkSession)
     usable = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label")).where(
         learnable & F.col("doc_id").isNotNull() & F.col("label").isin(0.0, 1.0)
     )
