@@ -23,9 +23,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import discard, stored
+from ledgerline.session import use_checkpoint_dir
+
 SEED = 17
 PASSES = 8
 GRID = 16
+#: Entries per source of about 100 bytes are broadcast up to this many.
+MAX_SOURCES = 50_000
 
 
 def source_totals(rows: DataFrame) -> DataFrame:
@@ -101,47 +106,86 @@ def order_digest(epoch, doc_id):
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
 
-def mixed_rows(df: DataFrame, tokens, max_repeats=2.0, target_entropy=None, budget_tokens=None, doc_id="doc_id", source="source") -> DataFrame:
+def by_source(table: DataFrame, small: DataFrame, sources: int) -> DataFrame:
+    """Rows with the entry of their source. Up to MAX_SOURCES entries are broadcast, more are joined by shuffle."""
+    side = small.withColumnRenamed("source", "s")
+    side = F.broadcast(side) if sources <= MAX_SOURCES else side
+    return table.join(side, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+
+
+def placed(rows: DataFrame, epoch) -> DataFrame:
+    """Rows with their place in a pass over their source: block, then order_key, then doc_id."""
+    return rows.withColumn("order_key", order_digest(epoch, F.col("doc_id"))).withColumn(
+        "block", F.when(F.col("blocks") > 0, F.pmod("order_key", "blocks"))
+    )
+
+
+def edges(slim: DataFrame, budgets: DataFrame, sources: int) -> DataFrame:
+    """source, edge_block, edge (order_key and doc_id): up to where the part pass of a source goes.
+
+    Blocks before the edge are taken whole; in it, rows up to ``edge`` (null: none).
+    """
+    part = placed(by_source(slim, budgets.where("rest > 0"), sources).where("rest > 0"), F.col("passes"))
+    sizes = part.groupBy("source", "block").agg(F.sum("n_tokens").alias("size"), F.max("rest").alias("limit"))
+    before = F.sum("size").over(
+        Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    sizes = sizes.withColumn("before", F.coalesce(before, F.lit(0).cast("long")))
+    edge = (
+        sizes.where("before <= limit and before + size > limit")
+        .groupBy("source")
+        .agg(F.min("block").alias("edge_block"), F.min(F.col("limit") - F.col("before")).alias("room"))
+    )
+    inside = by_source(part, edge, sources).where("block = edge_block")
+    # rows that tie in both keys are repeats of one row: they go in together or not at all
+    running = F.sum("n_tokens").over(Window.partitionBy("source", "block").orderBy("order_key", "doc_id"))
+    last = (
+        inside.withColumn("running", running)
+        .where("running <= room")
+        .groupBy("source")
+        .agg(F.max(F.struct("order_key", "doc_id")).alias("edge"))
+    )
+    return by_source(edge.select("source", "edge_block"), last, sources)
+
+
+def mixed_rows(
+    df: DataFrame,
+    tokens,
+    max_repeats=2.0,
+    target_entropy=None,
+    budget_tokens=None,
+    doc_id="doc_id",
+    source="source",
+) -> DataFrame:
     """Every use of a row: ``row`` (the input row), n_tokens, epoch, block, order_key, weight.
 
+    The uses are worked out on ids and sizes; whole rows only meet one entry per source, so texts are not shuffled.
     Rows of sources without any token come back once.
     """
+    use_checkpoint_dir(df.sparkSession)
     rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"),
     )
-    totals = source_totals(rows.select("source", "n_tokens")).checkpoint()
+    slim = stored(rows.select("doc_id", "source", "n_tokens"), "sizes")
+    totals = source_totals(slim).checkpoint()
+    sources = totals.count()
     aim = {"max_repeats": None if target_entropy is not None else max_repeats, "target_entropy": target_entropy}
     exponent = find_exponent(totals, **aim)
-    budgets = source_budgets(totals, exponent, budget_tokens)
-    known = budgets.withColumnRenamed("source", "s")
-    joined = rows.join(known, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "docs", "tokens")
-    uses = joined.withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("passes"), F.lit(0)).cast("long")))
-    ).where("passes is null or epoch < passes or rest > 0")
-    uses = uses.withColumn("order_key", order_digest(F.col("epoch"), F.col("doc_id"))).withColumn(
-        "block", F.when(F.col("blocks") > 0, F.pmod("order_key", "blocks"))
-    )
-    whole = uses.where("passes is null or epoch < passes")
-    part = uses.where("epoch = passes")
-    # a second look at the ids and sizes only: which blocks fit, and how much is left for the block on the limit
-    slim = part.select("source", "block", "n_tokens", "rest")
-    blocks = slim.groupBy("source", "block").agg(F.sum("n_tokens").alias("size"), F.max("rest").alias("limit"))
-    before = F.sum("size").over(
-        Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    blocks = blocks.withColumn("before", F.coalesce(before, F.lit(0).cast("long"))).where("before < limit")
-    blocks = blocks.select(
-        F.col("source").alias("s"), F.col("block").alias("b"), "before", "size", "limit"
-    )
-    near = part.join(blocks, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
-    fits = near.where("before + size <= limit")
-    edge = near.where("before + size > limit")
-    running = F.sum("n_tokens").over(
-        Window.partitionBy("source", "block").orderBy("order_key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    edge = edge.withColumn("running", running).where("before + running <= limit").drop("running")
-    columns = ["row", "doc_id", "source", "n_tokens", "epoch", "block", "order_key", "weight"]
-    return whole.select(columns).union(fits.select(columns)).union(edge.select(columns))
+    budgets = source_budgets(totals, exponent, budget_tokens).drop("docs", "tokens").checkpoint()
+    plan = by_source(budgets, edges(slim, budgets, sources), sources).checkpoint()
+    discard(slim)
+
+    uses = placed(by_source(rows, plan, sources), F.col("passes"))
+    key = F.struct("order_key", "doc_id")
+    in_edge = (F.col("block") == F.col("edge_block")) & (key <= F.col("edge"))
+    in_part = (F.col("rest") > 0) & ((F.col("block") < F.col("edge_block")) | F.coalesce(in_edge, F.lit(False)))
+    none = F.array().cast("array<bigint>")
+    zero = F.lit(0).cast("long")
+    whole = F.when(F.col("passes") > 0, F.sequence(zero, F.greatest(F.col("passes") - 1, zero))).otherwise(none)
+    part = F.when(in_part, F.array(F.col("passes"))).otherwise(none)
+    epochs = F.when(F.col("passes").isNull(), F.array(zero)).otherwise(F.concat(whole, part))
+    uses = placed(uses.withColumn("epoch", F.explode(epochs)), F.col("epoch"))
+    return uses.select("row", "doc_id", "source", "n_tokens", "epoch", "block", "order_key", "weight")

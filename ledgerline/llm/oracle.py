@@ -121,8 +121,7 @@ with rows as (
     select *, coalesce(sum(size) over (partition by source order by block rows between unbounded preceding
         and 1 preceding), 0) as before from sizes
 ), running as (
-    select k.*, before, size, sum(n_tokens) over (partition by k.source, k.block order by order_key, doc_id
-        rows between unbounded preceding and current row) as running
+    select k.*, before, size, sum(n_tokens) over (partition by k.source, k.block order by order_key, doc_id nulls first) as running
     from blocked k join befores b on k.source is not distinct from b.source and k.block = b.block
     where epoch = passes
 )

@@ -6,11 +6,9 @@ from helpers import awkward, docs, text
 from pyspark.sql import functions as F
 
 from ledgerline.llm import common, mixing
-from ledgerline.session import use_checkpoint_dir
 
 
 def mixed(df, **kw):
-    use_checkpoint_dir(df.sparkSession)
     return mixing.mixed_rows(df, common.n_words(F.col("text")), **kw)
 
 
