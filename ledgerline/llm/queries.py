@@ -16,7 +16,6 @@ from ledgerline.llm import (
     weak_rules,
 )
 from ledgerline.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
-from ledgerline.session import use_checkpoint_dir
 
 QUERIES = {}
 
@@ -29,7 +28,6 @@ def query(fn):
 @query
 def op7_temperature_mix(spark, d):
     """All documents mixed so that no source repeats more than twice and none is cut short."""
-    use_checkpoint_dir(spark)
     docs = common.table(spark, d, "documents").select("doc_id", "source", "text")
     mixed = mixing.mixed_rows(docs, common.n_words(F.col("text")))
     return mixed.select("doc_id", "source", "n_tokens", "epoch", "block", "order_key")
@@ -77,7 +75,6 @@ def op1_quality_classifier(spark, d):
 
 @query
 def op3_quality_rules(spark, d):
-    use_checkpoint_dir(spark)
     docs = common.table(spark, d, "documents").select("doc_id", "text")
     counts = common.stored(weak_rules.text_counts(docs), "rule-counts")
     return weak_rules.judge(counts).select(
@@ -98,7 +95,6 @@ def op4_language_id(spark, d):
 
 @query
 def op6_minhash_near_dup(spark, d):
-    use_checkpoint_dir(spark)
     return near_dup.near_duplicates(common.table(spark, d, "documents"), k=4)
 
 

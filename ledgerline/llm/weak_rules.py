@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import WORD
+from ledgerline.session import use_checkpoint_dir
 
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -145,6 +146,7 @@ def estimate(patterns: DataFrame):
 
 def judge(counts: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     """Counts plus votes, base_failed, posterior and kept. ``counts`` should be stored: it is read twice."""
+    use_checkpoint_dir(counts.sparkSession)
     voted = counts.withColumns({rule: vote(rule) for rule in RULES})
     patterns = voted.groupBy(*RULES).agg(F.count(F.lit(1)).alias("n")).coalesce(1).checkpoint()
     params = estimate(patterns)

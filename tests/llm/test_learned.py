@@ -118,8 +118,7 @@ def test_masked_scores_word_by_word(spark):
     assert np.allclose(np.exp(model.logp).sum(axis=1), 1, atol=1e-4)
     assert np.allclose(np.bincount(model.classes.of, np.exp(model.classes.within.astype(float)))[1:].max(), 1, atol=1e-2)
     out = {r["doc_id"]: r for r in pseudo_likelihood.scored(rows, model).collect()}
-    tokens = pseudo_likelihood.Tokens()
-    slots, _ = tokens([text("same", 80)])
+    slots, _ = pseudo_likelihood.tokens([text("same", 80)])
     c = [0, 0, *model.classes.of[slots], 0, 0]
     total = 0.0
     for i, slot in enumerate(slots):
@@ -135,5 +134,5 @@ def test_masked_scores_word_by_word(spark):
 def test_frequent_words_score_higher(spark):
     rows = docs(spark, [(i, text(i % 3, 200)) for i in range(30)])
     model = pseudo_likelihood.learn(rows)
-    _, score = model.score(pseudo_likelihood.Tokens(), [text(1, 200), " ".join(f"unseen{i}" for i in range(200))])
+    _, score = model.score([text(1, 200), " ".join(f"unseen{i}" for i in range(200))])
     assert score[0] > score[1]

@@ -41,6 +41,7 @@ def corpus(spark):
     rows = [(100 + i, " ".join(words(i, 150)), "en", f"s{i % 3}") for i in range(40)]
     rows += [(200 + i, rows[i][1] + " end", "en", "s1") for i in range(5)]
     rows += [(300 + i, " ".join(words(("x", i), 60) + passage + words(("y", i), 60)), "en", "s2") for i in range(4)]
+    rows += [(400, rows[20][1] + " one more", "en", "s0"), (400, "a shorter text"), (401, "only here"), (401, "only here")]
     return awkward(spark).unionByName(docs(spark, rows))
 
 
@@ -59,8 +60,10 @@ def test_stages(spark, corpus, tmp_path):
         after[name] = seen.collect()
     ids = {name: {r["doc_id"] for r in rows} for name, rows in after.items()}
     assert ids["language_id"] == {r["doc_id"] for r in corpus.collect()} - {3, 4, 5}
-    groups = brute([(r["doc_id"], r["text"]) for r in after["language_id"]], k=5)
+    in_order = sorted(after["language_id"], key=lambda r: len(r["text"]))  # of one id the longest text counts
+    groups = brute([(r["doc_id"], r["text"]) for r in in_order], k=5)
     assert ids["near_dup"] == {i for i, (_, c) in groups.items() if i == c} | {None}
+    assert sum(r["doc_id"] == 401 for r in after["near_dup"]) == 1 and 400 not in ids["near_dup"]
     texts = {r["doc_id"]: r["text"] for r in after["substring_dedup"]}
     before = {r["doc_id"]: r["text"] for r in after["near_dup"]}
     assert texts[300] == before[300]

@@ -36,7 +36,6 @@ def brute(rows, k=4):
 
 
 def found(spark, rows, k=4):
-    use_checkpoint_dir(spark)
     out = nd.near_duplicates(docs(spark, rows), k).collect()
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out}

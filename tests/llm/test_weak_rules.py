@@ -6,7 +6,6 @@ from helpers import awkward, docs, text, words
 
 from ledgerline.llm import common
 from ledgerline.llm import weak_rules as wr
-from ledgerline.session import use_checkpoint_dir
 
 
 def plain_counts(body):
@@ -34,7 +33,6 @@ def test_counts_against_plain_python(spark):
 
 
 def verdicts(spark, df):
-    use_checkpoint_dir(spark)
     return {r["doc_id"]: r for r in wr.judge(common.stored(wr.text_counts(df), "counts")).collect()}
 
 
