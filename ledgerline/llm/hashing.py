@@ -1,9 +1,22 @@
-"""Hashing of words that is the same in every process, with a bounded cache."""
+"""Hashes of words and of runs of words, the same in every process, computed over whole batches."""
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
-import xxhash
+
+CHUNK_BYTES = 1 << 18
+
+#: Blanks are space, tab, line feed, vertical tab, form feed and return; A-Z go to lower case.
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: A fixed random 64-bit value for each byte, and an odd base for its place in the word.
+BYTE_VALUES = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)
+BASE = 0x9E3779B97F4A7C15
+#: Odd multipliers, one per place in a run of words.
+PLACES = np.random.default_rng(21).integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def crc(word: str) -> int:
@@ -11,23 +24,19 @@ def crc(word: str) -> int:
 
 
 class WordIds:
-    """Word -> number by a hash function; the cache is emptied when it holds ``limit`` words."""
+    """Word -> crc32; the cache is emptied when it holds ``limit`` words."""
 
-    def __init__(self, hashed=crc, dtype=np.uint32, limit: int = 300_000):
-        self.hashed, self.dtype, self.limit = hashed, dtype, limit
-        self.known: dict = {}
+    def __init__(self, limit: int = 500_000):
+        self.limit = limit
+        self.known: dict[str, int] = {}
 
-    def __call__(self, words: list) -> np.ndarray:
+    def __call__(self, words: list[str]) -> np.ndarray:
         if len(self.known) > self.limit:
             self.known = {}
         known = self.known
-        try:
-            return np.fromiter(map(known.__getitem__, words), dtype=self.dtype, count=len(words))
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self.hashed(w)
-            return np.fromiter(map(known.__getitem__, words), dtype=self.dtype, count=len(words))
+        for w in set(words).difference(known):
+            known[w] = crc(w)
+        return np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,33 +49,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-#: Odd multipliers, one per place in a shingle.
-PLACES = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
-    + [0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
-    dtype=np.uint64,
-)
-
-
-class Shingles:
-    """Text -> 64-bit hashes of its runs of ``k`` words (at most 8), in order of place.
-
-    Words are runs of characters other than ASCII blanks, A-Z in lower case: bytes.lower() and bytes.split()
-    do exactly that. A text with fewer words is one run.
+def powers(n: int) -> np.ndarray:
+    """BASE ** 0 .. BASE ** (n - 1), modulo 2 ** 64."""
+    out = np.full(n, BASE, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of all texts in order, and the number of words of each text."""
+    raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    joined = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)  # a blank after each text
+    inside = ~BLANK[joined]
+    edges = np.diff(inside.astype(np.int8), prepend=np.int8(0))
+    starts, ends = np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0]
+    after = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
+    counts = np.diff(np.searchsorted(starts, after), prepend=0)
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64), counts
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    values = BYTE_VALUES[LOWER[joined[inside]]]
+    place = np.arange(len(values)) - np.repeat(first, lengths)
+    values *= powers(int(lengths.max()))[place]
+    return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64) * PLACES[15]), counts
+
+
+def chunks(texts) -> Iterator[list]:
+    """Texts in lists of about CHUNK_BYTES characters, at least one text each."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text or "") + 1
+        if size >= CHUNK_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def run_hashes(texts, k: int) -> Iterator[np.ndarray]:
+    """For each text the hashes of its runs of ``k`` words (at most 8), in order of place; signed.
+
+    A text with fewer words is one run, a text without words has none.
     """
-
-    def __init__(self, k: int):
-        self.k = k
-        self.ids = WordIds(xxhash.xxh3_64_intdigest, np.uint64)
-
-    def __call__(self, text) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if not words:
-            return np.empty(0, dtype=np.int64)
-        w = self.ids(words)
-        k = min(self.k, len(w))
-        n = len(w) - k + 1
-        total = np.full(n, k, dtype=np.uint64)
+    for part in chunks(texts):
+        words, counts = word_hashes(part)
+        n = len(words)
+        whole = np.full(max(n - k + 1, 0), k, dtype=np.uint64)
         for i in range(k):
-            total += w[i : i + n] * PLACES[i]
-        return mix(total).view(np.int64)
+            whole += words[i : i + len(whole)] * PLACES[i]
+        whole = mix(whole).view(np.int64)
+        at = 0
+        for count in counts.tolist():
+            if count >= k:
+                yield whole[at : at + count - k + 1]
+            elif count:
+                run = (words[at : at + count] * PLACES[:count]).sum(dtype=np.uint64) + np.uint64(count)
+                yield mix(np.array([run], dtype=np.uint64)).view(np.int64)
+            else:
+                yield np.empty(0, dtype=np.int64)
+            at += count

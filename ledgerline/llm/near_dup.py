@@ -17,7 +17,7 @@ A document is its set of distinct word shingles, hashed by one function. Link: J
 
 Null or empty texts are linked with nothing. Rows with a null id take no part. Of rows that share an id the one with the
 largest set counts (ties: larger fingerprint). An empty table gives no rows; other columns are ignored.
-The step 2 bound holds for certain up to 1.25 * n <= SKETCH, else with probability 1 - 1e-8 at the threshold.
+The step 2 bound holds for certain up to 1.25 * n <= SKETCH, else with a probability above 1 - 1e-7 at the threshold.
 """
 
 from collections.abc import Iterator
@@ -28,9 +28,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import bound_batches, discard, stored
 from ledgerline.llm.components import components
-from ledgerline.llm.hashing import Shingles
+from ledgerline.llm.hashing import run_hashes
+from ledgerline.session import use_checkpoint_dir
 
 PERCENT = 80
 SKETCH = 64
@@ -58,9 +59,8 @@ def signed_sets(docs: DataFrame, k: int, whole: bool) -> DataFrame:
     keep = None if whole else SKETCH
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles(k)
         for batch in batches:
-            grams = [np.unique(shingles(text)) for text in batch["text"]]
+            grams = [np.unique(runs) for runs in run_hashes(batch["text"], k)]
             prints = [np.frombuffer(xxhash.xxh3_128_digest(g.tobytes()), dtype=np.int64) for g in grams]
             yield pd.DataFrame(
                 {
@@ -182,7 +182,9 @@ def verified(pairs: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, k: int = 4, doc_id="doc_id", text="text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable), kept (the id is the component's)."""
+    bound_batches(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
+    use_checkpoint_dir(df.sparkSession)
     signed = stored(signed_sets(docs, k, whole=False), "sketches")
     repeats = has_repeats(signed)  # only then are ids brought together
     signed = once_per_id(signed) if repeats else signed
@@ -195,6 +197,7 @@ def near_duplicates(df: DataFrame, k: int = 4, doc_id="doc_id", text="text") ->
     if more.limit(1).count():
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = stored(components(stars.unionByName(more)), "labels")
+    discard(sets, lists, links, more)
     slim = signed.select("doc_id", "n", "f1", "f2")
     classes = slim.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, F.col("least") == F.col("node"), "left").select(
