@@ -33,8 +33,12 @@ def amount(cents):
     return f"cast(cast({cents} as decimal(15,0)) * 0.01BD as {r.MONEY})"
 
 
-def raw_invoices(spark, sf_dir, as_of=AS_OF):
-    """Invoices from ``lineitem``, priced in whole cents: numbers on which doubles are exact."""
+def raw_invoices(spark, sf_dir, as_of=AS_OF, extra=()):
+    """Invoices from ``lineitem``, priced in whole cents: numbers on which doubles are exact.
+
+    ``extra`` maps names to expressions over ``lineitem`` that come along.
+    """
+    extra = dict(extra)
     names = ", ".join(f"'{name}'" for name in fv.SUPPLIER_CATEGORIES)
     terms = ", ".join(str(days) for days in fv.PAYMENT_TERMS)
     priced = table(spark, sf_dir, "lineitem").selectExpr(
@@ -47,6 +51,7 @@ def raw_invoices(spark, sf_dir, as_of=AS_OF):
         "int(l_quantity) as quantity",
         "floor((rint(l_extendedprice * 100) * (100 - rint(l_discount * 100)) + 50) / 100) as excl_cents",
         "if(rint(l_tax * 100) >= 8, 14, 15) as tax_percent",
+        *[f"{expression} as {name}" for name, expression in extra.items()],
     )
     taxed = priced.selectExpr(
         "*",
@@ -71,6 +76,7 @@ def raw_invoices(spark, sf_dir, as_of=AS_OF):
         "is_late",
         "is_paid",
         "invoice_status",
+        *extra,
     )
 
 
