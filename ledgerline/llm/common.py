@@ -1,5 +1,8 @@
 """What several operators share: reading tables, storing intermediate tables, the word pattern."""
 
+import gc
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,24 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+@contextmanager
+def slim_batches(spark: SparkSession):
+    """For jobs without texts: batches of 10,000 rows, since small ones cost more than their rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 10_000)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def collected(spark: SparkSession) -> None:
+    """Shuffle files that nothing reads any more go when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def n_words(text):
     """Words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
