@@ -13,6 +13,7 @@ from ledgerline.llm import (
     pseudo_likelihood,
     quality_model,
     substring_dup,
+    token_files,
     weak_rules,
 )
 from ledgerline.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
@@ -20,6 +21,13 @@ from ledgerline.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module
 QUERIES = {}
 
 
+def tokenizer(name):
+    """A public tokenizer's file; the package lies on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -107,3 +115,17 @@ def op5_substring_dedup(spark, d):
 def op2_masked_lm(spark, d):
     docs = common.table(spark, d, "documents").select("doc_id", "text")
     return pseudo_likelihood.scored(docs, pseudo_likelihood.learn(docs))
+
+
+@query
+def op11_token_files(spark, d):
+    """Token files of all documents, read back: each document's place, length and digest."""
+    docs = common.table(spark, d, "documents").select("doc_id", "text")
+    path = token_files.written(docs, tokenizer("byte_bpe_50k.json"), end_id=2)
+    found = token_files.digests(spark, path).join(token_files.file_starts(spark, path), "file_no")
+    return found.select(
+        "doc_id",
+        (F.col("file_start") + F.col("start")).alias("start"),
+        F.col("n_ids").alias("n_tokens"),
+        F.col("crc32").alias("ids_crc32"),
+    )
