@@ -14,6 +14,7 @@ from ledgerline.llm import (
     quality_model,
     substring_dup,
     token_files,
+    token_pairs,
     weak_rules,
 )
 from ledgerline.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
@@ -129,3 +130,11 @@ def op11_token_files(spark, d):
         F.col("n_ids").alias("n_tokens"),
         F.col("crc32").alias("ids_crc32"),
     )
+
+
+@query
+def op12_token_alignment(spark, d):
+    """All documents under a byte-level and a sentence-piece vocabulary, their links counted over the corpus."""
+    docs = common.table(spark, d, "documents").select("doc_id", "text")
+    found, _ = token_pairs.align(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    return found
