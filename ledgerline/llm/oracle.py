@@ -235,3 +235,50 @@ left join sizes using (doc_id) left join least_of using (doc_id)
 
 
 ORACLE_SQL["op6_minhash_near_dup"] = near_dup_sql("documents", 4)
+
+
+def _vector_codes_sql(rounds=6, parts=8, entries=16) -> str:
+    """Lloyd rounds written out; every round compares every part with all entries of its codebook."""
+    steps = [
+        """kept as materialized (
+  select vec_id, label, row_number() over (order by vec_id, v) as row_no, v, len(v) // {parts} as width
+  from (select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+        from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0))""",
+        """cells as materialized (
+  select row_no, label, vec_id, p, v[p * width + 1 : (p + 1) * width] as x from kept, range({parts}) as r(p))""",
+        "book0 as materialized (select p, row_no - 1 as entry, x as c from cells where row_no <= {entries})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""met{i} as materialized (
+  select row_no, vec_id, label, p, min(struct_pack(d := d, e := entry)) as best
+  from (select cells.*, entry,
+               list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+        from cells join book{i} using (p)) group by all)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""book{i + 1} as materialized (
+  select p, entry, coalesce(moved.c, book{i}.c) as c
+  from book{i} left join (
+    select p, entry, list((s - ((s % n) + n) % n) // n order by pos)::bigint[] as c
+    from (select p, best.e as entry, pos, sum(x[pos])::bigint as s, count(*) as n
+          from met{i} join cells using (row_no, p), range(1, 1 + (select max(width) from kept)) as g(pos)
+          group by all) group by all) as moved using (p, entry))"""
+            )
+    steps.append(
+        f"""found as (
+  select vec_id, label, row_no, string_agg(printf('%02x', best.e), '' order by p) as code, sum(best.d)::bigint as error
+  from met{rounds} group by all)"""
+    )
+    steps.append(f"""books as (
+  select sha256(string_agg(array_to_string(c, ','), ',' order by p, entry)) as codebooks_sha256 from book{rounds})""")
+    return (
+        "with " + ",\n".join(steps).replace("{parts}", str(parts)).replace("{entries}", str(entries)) + """
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from found, books"""
+    )
+
+
+ORACLE_SQL["op13_vector_codes"] = _vector_codes_sql()

@@ -15,6 +15,7 @@ from ledgerline.llm import (
     substring_dup,
     token_files,
     token_pairs,
+    vector_codes,
     weak_rules,
 )
 from ledgerline.llm.oracle import ORACLE_SQL  # noqa: F401  (part of this module's interface)
@@ -138,3 +139,8 @@ def op12_token_alignment(spark, d):
     docs = common.table(spark, d, "documents").select("doc_id", "text")
     found, _ = token_pairs.align(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
     return found
+
+
+@query
+def op13_vector_codes(spark, d):
+    return vector_codes.coded(common.table(spark, d, "embeddings"))
