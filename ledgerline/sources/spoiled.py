@@ -61,3 +61,22 @@ def raw_bank_transactions(spark, sf_dir, as_of=binding.AS_OF):
         "transaction_date": F.when(k != 14, F.col("transaction_date")),
     }
     return clean.select(*[changed.get(c, F.col(c)).alias(c) for c in clean.columns if c != "k"])
+
+
+#: Days after the first payment of a bill on which it is paid again, by order number modulo 40.
+PAID_AGAIN = {3: [0], 17: [2], 23: [10], 29: [1, 2], 31: [-3]}
+
+
+def raw_double_payments(spark, sf_dir, as_of=binding.AS_OF):
+    """The clean ledger with some invoices paid again: on the day, inside and outside the tolerance, and three times."""
+    clean = binding.raw_bank_transactions(spark, sf_dir, as_of).withColumn("k", order_rest("invoice_reference"))
+    shifts = F.lit(None).cast("array<int>")
+    for k, days in PAID_AGAIN.items():
+        shifts = F.when(F.col("k") == k, F.array(*[F.lit(d) for d in [0, *days]])).otherwise(shifts)
+    copies = clean.select("*", F.posexplode(F.coalesce(shifts, F.array(F.lit(0)))).alias("copy", "shift"))
+    again = F.concat("transaction_id", F.when(F.col("copy") > 0, F.concat(F.lit("/"), "copy")).otherwise(""))
+    changed = {
+        "transaction_id": again,
+        "transaction_date": F.date_add("transaction_date", F.col("shift")),
+    }
+    return copies.select(*[changed.get(c, F.col(c)).alias(c) for c in clean.columns if c != "k"])
