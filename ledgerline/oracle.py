@@ -723,6 +723,14 @@ UNION ALL SELECT 'sa_suppliers', 'landed', count(*) FROM raw_suppliers
 UNION ALL SELECT 'sa_bank_transactions', 'landed', count(*) FROM raw_bank
 UNION ALL SELECT 'sarb_benchmarks', 'skipped', NULL"""
     ),
+    "landing_manifest": "WITH "
+    + source_views("2000-07-01", "older_").strip().removeprefix("WITH")
+    + ","
+    + source_views()
+    + """
+SELECT '2001-01-01' AS ingested_date, true AS files_agree, count(*) AS rows,
+  count(*) FILTER (WHERE invoice_status = 'Overdue') AS overdue FROM raw_invoices
+UNION ALL SELECT '2001-01-02', true, count(*), count(*) FILTER (WHERE invoice_status = 'Overdue') FROM older_raw_invoices""",
     "bronze_snapshot": status_counts(VIEWS, "inv"),
     "bronze_incremental": status_counts(TWO_DAYS, "both_days"),
     "export_gold": over_views(

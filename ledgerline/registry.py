@@ -17,7 +17,7 @@ from ledgerline.operators.silver import (
 )
 from ledgerline.plans import benchmark, daily, explore, followup, gold, incremental_gold, operations, training
 from ledgerline.session import shared_dir, use_checkpoint_dir
-from ledgerline.sources import binding, bronze, sinks, spoiled
+from ledgerline.sources import binding, bronze, landing, sinks, spoiled
 from ledgerline.sources.binding import AS_OF
 from ledgerline.streaming.incremental import bronze_incremental
 
@@ -141,6 +141,22 @@ def land_all(spark, d):
     return status.join(F.broadcast(counts), "dataset", "left")
 
 
+@query
+def landing_manifest(spark, d):
+    """A day landed twice, with a third landing lost before its switch: the second one's files are in force, whole."""
+    root, dataset = shared_dir(spark, "manifest"), "sa_invoices"
+    for day, as_of in [("2001-01-01", "2000-07-01"), ("2001-01-01", AS_OF), ("2001-01-02", "2000-07-01")]:
+        bronze.land_bronze(spark, receive_invoices(spark, d, f"{root}/{day}-{as_of}", as_of), root, dataset, day)
+    lost = receive_invoices(spark, d, f"{root}/lost", "1999-01-01")
+    landing.copy_files(spark, bronze.data_files(spark, lost), root, dataset, "2001-01-01")
+    agrees = (F.col("length") == F.col("length_now")) & (F.col("sha256") == F.col("sha256_now"))
+    files = landing.verify(spark, root, dataset).groupBy("ingested_date")
+    files = files.agg((F.count_if(agrees) == F.count("*")).alias("files_agree"))
+    rows = bronze.read_bronze(spark, root, dataset).groupBy("ingested_date")
+    rows = rows.agg(F.count("*").alias("rows"), F.count_if(F.col("invoice_status") == "Overdue").alias("overdue"))
+    return rows.join(files, "ingested_date")
+
+
 def land_two_days(spark, d, root):
     """The same invoices as seen on two days: states differ, ids do not."""
     for as_of in ["2000-07-01", "2001-01-01"]:

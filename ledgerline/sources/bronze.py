@@ -1,14 +1,18 @@
-"""Bronze zone: files exactly as received, one ``ingested_date`` folder per landing day."""
+"""Bronze zone: files exactly as received, one ``ingested_date`` folder per landing day, with a manifest per landing.
+
+A day consists of the files that its last manifest names; ``landing.py`` writes them. A dataset that was delivered
+without manifests is read by its folders.
+"""
 
 import csv
 import logging
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.schemas import BRONZE_COLUMNS
+from ledgerline.sources.landing import copy_files, entries_of, exists, landed_days, names_in, path_on, switch_day
 
 log = logging.getLogger(__name__)
 
@@ -22,20 +26,10 @@ CSV_WRITE = {
 }
 #: Holds the text of a record that does not fit its header; null elsewhere.
 CORRUPT = "_corrupt_record"
-#: Files copied or opened at a time.
+#: Files opened at a time.
 PARALLEL = 16
 
 
-def path_on(spark, path):
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
-def exists(spark, path):
-    fs, hadoop_path = path_on(spark, path)
-    return fs.exists(hadoop_path)
-
-
 def data_files(spark, path):
     """The file, or the files of a folder, without markers such as ``_SUCCESS``."""
     fs, hadoop_path = path_on(spark, path)
@@ -45,13 +39,19 @@ def data_files(spark, path):
     return [f"{path.rstrip('/')}/{n}" for n in sorted(names) if n[0] not in "_."]
 
 
+def day_files(spark, root, dataset, day):
+    """The files of a landing day: those its manifest names."""
+    folder = f"{root}/{dataset}/ingested_date={day}"
+    entries = entries_of(spark, root, dataset, day)
+    return data_files(spark, folder) if entries is None else [f"{folder}/{e['file']}" for e in entries]
+
+
 def ingested_dates(spark, root, dataset):
-    """Landing days of a dataset, from a listing of its day folders; no data is read."""
-    fs, hadoop_path = path_on(spark, f"{root}/{dataset}")
-    if not fs.exists(hadoop_path):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith("ingested_date="))
+    """Landing days of a dataset, from a listing of manifests or day folders; no data is read."""
+    days = landed_days(spark, root, dataset)
+    if days is None:
+        days = [n.split("=", 1)[1] for n in names_in(spark, f"{root}/{dataset}") if n.startswith("ingested_date=")]
+    return sorted(days)
 
 
 def read_csv(spark, path):
@@ -64,27 +64,13 @@ def write_csv(df, path, mode="overwrite"):
 
 
 def land_bronze(spark, source, root, dataset, run_date):
-    """Copy a received file, or a folder of files, byte by byte into the day's folder.
+    """Land a received file, or a folder of files, as it is: the tasks copy, then the day's manifest switches.
 
-    A second run that day replaces the day, other days stay. The copy is made beside the day and moved in when it is
-    whole. Each landing gives its files a name of their own, so that a stream sees a replaced day as new files.
+    A second landing of a day replaces it, other days stay. Gives the manifest entries.
     """
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    copy = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy
-    landing = uuid.uuid4().hex[:12]
-    fs, day = path_on(spark, f"{root}/{dataset}/ingested_date={run_date}")
-    _, waiting = path_on(spark, f"{root}/{dataset}/_landing-{landing}")
-    fs.mkdirs(waiting)
-
-    def copy_one(path):
-        from_fs, from_path = path_on(spark, path)
-        to = path_on(spark, f"{waiting.toString()}/{landing}-{from_path.getName()}")[1]
-        copy(from_fs, from_path, fs, to, False, conf)
-
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        list(pool.map(copy_one, data_files(spark, source)))
-    fs.delete(day, True)
-    fs.rename(waiting, day)
+    entries = copy_files(spark, data_files(spark, source), root, dataset, run_date)
+    switch_day(spark, root, dataset, run_date, entries)
+    return entries
 
 
 def land_all(spark, files, root, run_date):
@@ -101,16 +87,31 @@ def land_all(spark, files, root, run_date):
 
 
 def header_of(spark, path):
-    """Column names of a file; a repeated name gets a number. Empty for an empty file."""
+    """Column names of a file; a repeated name gets a number. Empty for an empty file.
+
+    A quoted name may hold line breaks: lines are read until the quotes are closed.
+    """
     fs, hadoop_path = path_on(spark, path)
     io = spark.sparkContext._jvm.java.io
     reader = io.BufferedReader(io.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
     try:
-        line = reader.readLine()
+        text = reader.readLine() or ""
+        while text.count('"') % 2:
+            line = reader.readLine()
+            if line is None:
+                break
+            text += "\n" + line
     finally:
         reader.close()
-    names = next(csv.reader([(line or "").removeprefix("﻿")]), [])
-    return tuple(n if n not in names[:i] else f"{n}_{i}" for i, n in enumerate(names))
+    lines = text.removeprefix("\ufeff").splitlines(keepends=True)
+    names = next(csv.reader(lines), [])
+    out = []
+    for i, name in enumerate(names):
+        again = f"{name}_{i}"
+        while again in names or again in out:
+            again += "_"
+        out.append(again if name in names[:i] else name)
+    return tuple(out)
 
 
 def landed(spark, root, dataset, days=None, multi_line=False, **options):
@@ -122,8 +123,8 @@ def landed(spark, root, dataset, days=None, multi_line=False, **options):
     """
     if days is None:
         days = ingested_dates(spark, root, dataset)
-    paths = [f for day in days for f in data_files(spark, f"{root}/{dataset}/ingested_date={day}")]
     with ThreadPoolExecutor(PARALLEL) as pool:
+        paths = [f for found in pool.map(lambda day: day_files(spark, root, dataset, day), days) for f in found]
         headers = list(pool.map(lambda path: header_of(spark, path), paths))
     groups = {}
     for header, path in zip(headers, paths):

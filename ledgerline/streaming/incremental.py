@@ -1,4 +1,4 @@
-"""Daily ingest as a file stream: days with files not yet seen are cleaned and replaced in the target."""
+"""Daily ingest as a stream of landing manifests: days with a new manifest are cleaned and replaced in the target."""
 
 from ledgerline.operators.silver import (
     silver_bank_transactions,
@@ -15,13 +15,13 @@ CLEANERS = {
 
 
 def landing_stream(spark, root, dataset):
-    """New lines of Bronze, only to learn which days they belong to."""
+    """New manifests: an entry per landed file, with its day. No landed file is opened to find out what is new."""
     schema = "value string, ingested_date string"
-    return spark.readStream.schema(schema).format("text").load(f"{root}/{dataset}")
+    return spark.readStream.schema(schema).format("text").load(f"{root}/{dataset}/manifests")
 
 
 def bronze_incremental(spark, root, dataset, target, checkpoint):
-    """Clean every day that has unseen files into ``target`` (Parquet by day) and stop.
+    """Clean every day that has an unseen manifest into ``target`` (Parquet by day) and stop.
 
     A batch reads the days it touches whole and overwrites just those partitions, so a rerun after a lost
     executor, a restart, or a second landing on the same day leaves each day exactly as Bronze has it.

@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import json
 from decimal import Decimal
 
 import pytest
@@ -15,7 +17,7 @@ from ledgerline.operators.joins import invoices_with_supplier
 from ledgerline.operators.quality import dq_not_null, silver_report
 from ledgerline.plans import daily, training
 from ledgerline.schemas import BRONZE_COLUMNS
-from ledgerline.sources import bronze, sinks
+from ledgerline.sources import bronze, landing, sinks
 from ledgerline.streaming.incremental import bronze_incremental
 
 
@@ -313,3 +315,41 @@ def test_training_flow_leads_from_runs_to_scores(spark, tmp_path, make_invoices,
     assert {row.invoice_id: row.run_id for row in scored.collect()} == {"O0": run_id, "O1": run_id}
     assert [row.invoice_id for row in apart.collect()] == ["O2"]
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_a_landing_lost_before_its_switch_leaves_the_day(spark, tmp_path):
+    root, dataset, day = str(tmp_path / "bronze"), "sa_suppliers", "2025-05-01"
+    first = bronze.land_bronze(spark, supplier_file(tmp_path, SUPPLIER_ROW), root, dataset, day)
+    supplier_file(tmp_path, SUPPLIER_ROW.replace("S1", "S2"), SUPPLIER_ROW.replace("S1", "S3"))
+    path = str(tmp_path / "suppliers.csv")
+    copied = landing.copy_files(spark, [path], root, dataset, day)  # no switch follows
+    assert [r.supplier_id for r in bronze.read_bronze(spark, root, dataset).collect()] == ["S1"]
+    assert landing.entries_of(spark, root, dataset, day) == first
+    torn = tmp_path / "bronze" / dataset / "manifests" / f"ingested_date={day}" / "00000002.json"
+    torn.write_text('{"files": 2}\n' + json.dumps(copied[0]) + "\n")  # a manifest cut short does not count
+    assert [r.supplier_id for r in bronze.read_bronze(spark, root, dataset).collect()] == ["S1"]
+    landing.switch_day(spark, root, dataset, day, copied)
+    assert {r.supplier_id for r in bronze.read_bronze(spark, root, dataset).collect()} == {"S2", "S3"}
+    assert copied[0]["sha256"] == hashlib.sha256((tmp_path / "suppliers.csv").read_bytes()).hexdigest()
+    assert landing.drop_replaced(spark, root, dataset, day) == 1
+    row = landing.verify(spark, root, dataset).first()
+    assert (row.length, row.sha256) == (row.length_now, row.sha256_now)
+
+
+def test_a_day_copied_but_never_switched_is_no_day(spark, tmp_path):
+    root, path = str(tmp_path / "bronze"), supplier_file(tmp_path, SUPPLIER_ROW)
+    bronze.land_bronze(spark, path, root, "sa_suppliers", "2025-05-01")
+    landing.copy_files(spark, [path], root, "sa_suppliers", "2025-05-02")
+    assert bronze.ingested_dates(spark, root, "sa_suppliers") == ["2025-05-01"]
+    (tmp_path / "nothing here").mkdir()
+    assert bronze.land_bronze(spark, str(tmp_path / "nothing here"), root, "sa_suppliers", "2025-05-01") == []
+    assert bronze.read_bronze(spark, root, "sa_suppliers").count() == 0
+
+
+def test_headers_with_line_breaks_and_repeated_names(spark, tmp_path):
+    text = write_text(tmp_path / "odd name+1.csv", ['a,"two', 'lines",a,a_2', "1,2,3,4"])
+    assert bronze.header_of(spark, text) == ("a", "two\nlines", "a_2_", "a_2")
+    bronze.land_bronze(spark, text, str(tmp_path / "b"), "odd", "2025-05-01")
+    row = bronze.read_bronze(spark, str(tmp_path / "b"), "odd", multi_line=True).first()
+    assert row["a_2_"] == "3" and row["a_2"] == "4"
+    assert landing.verify(spark, str(tmp_path / "b"), "odd").first().length_now is not None
