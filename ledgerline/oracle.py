@@ -1215,8 +1215,8 @@ SELECT CASE WHEN late_payment_probability >= 0.5 THEN 'HIGH' WHEN late_payment_p
 SELECT label, n, (SELECT sum(n) FROM c)::double / ((SELECT count(*) FROM c) * n)::double AS weight FROM c"""
     ),
     "model_monitor": over_views(MONITOR),
-    "model_runs": over_views(RUNS + "SELECT * FROM run_rows"),
-    "best_run": over_views(
+    "scorer_model_runs": over_views(RUNS + "SELECT * FROM run_rows"),
+    "scorer_best_run": over_views(
         RUNS
         + "SELECT * FROM run_rows ORDER BY (model_type = 'GradientBoosting') DESC, test_auc DESC NULLS LAST, run_id LIMIT 1"
     ),
@@ -1291,14 +1291,37 @@ SELECT '{model}' AS model_type, {FEATURE_COUNT} AS n_features, sum(n - n_test)::
     "cv_auc": over_views(
         f"""{CLASSES}
 , f AS (SELECT label, i AS fold, (n - n_test) // 5 + (i < (n - n_test) % 5)::integer AS size FROM c, range(5) t(i))
-SELECT fold::integer AS fold, sum(size) FILTER (WHERE label = 1)::bigint AS positives,
-  sum(size) FILTER (WHERE label = 0)::bigint AS negatives, true AS has_auc FROM f GROUP BY 1"""
+SELECT m AS model_type, fold::integer AS fold, sum(size) FILTER (WHERE label = 1)::bigint AS positives,
+  sum(size) FILTER (WHERE label = 0)::bigint AS negatives, true AS has_auc
+FROM f, (VALUES ('GradientBoosting'), ('RandomForest'), ('LogisticRegression')) t(m) GROUP BY 1, 2"""
     ),
     "training_flow": over_views(
         f"""{CLASSES}
-SELECT '2001-01-01-' || m AS run_id, m AS model_type, {FEATURE_COUNT} AS n_features,
-  (SELECT sum(n - n_test) FROM c)::bigint AS n_train_rows, true AS has_auc, m = 'GradientBoosting' AS is_best
+SELECT '2001-01-01-' || m AS run_id, m AS model_type, 1 AS attempt, {FEATURE_COUNT} AS n_features,
+  (SELECT sum(n - n_test) FROM c)::bigint AS n_train_rows, (SELECT sum(n_test) FROM c)::bigint AS n_test_rows,
+  true AS has_auc, m = 'GradientBoosting' AS is_best
 FROM (VALUES ('GradientBoosting'), ('RandomForest'), ('LogisticRegression')) t(m)"""
+    ),
+    "model_runs": over_views(
+        f"""{CLASSES}
+SELECT '2001-01-01-' || m AS run_id, m AS model_type, 1 AS attempt, {FEATURE_COUNT} AS n_features,
+  (SELECT sum(n - n_test) FROM c)::bigint AS n_train_rows, true AS has_auc
+FROM (VALUES ('GradientBoosting'), ('RandomForest'), ('LogisticRegression')) t(m)"""
+    ),
+    "best_run": over_views(
+        f"""{CLASSES}
+SELECT '2001-01-01-GradientBoosting' AS run_id, 'GradientBoosting' AS model_type,
+  (SELECT sum(n - n_test) FROM c)::bigint AS n_train_rows, true AS model_agrees"""
+    ),
+    "open_invoice_tiers": over_views(
+        """
+, daily AS (SELECT supplier_id, invoice_date, count(*) AS n FROM inv GROUP BY 1, 2)
+, earlier AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY supplier_id ORDER BY invoice_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM daily)
+SELECT invoice_id, CASE WHEN k < 3 THEN 'HIGH' WHEN k > 4 THEN 'LOW' END AS risk_tier, true AS tier_agrees,
+  CASE WHEN k < 3 THEN true WHEN k > 4 THEN false END AS rather_late
+FROM (SELECT *, supplier_id::bigint % 10 AS k FROM inv JOIN earlier USING (supplier_id, invoice_date))
+WHERE invoice_status = 'PENDING' AND before >= 5"""
     ),
     "score_open_invoices": over_views(
         """
@@ -1318,3 +1341,47 @@ for _full, _parts in [
     ("cash_flow_monthly", "incremental_cash_flow"),
 ]:
     ORACLE_SQL[_parts] = ORACLE_SQL[_full]
+
+ORACLE_SQL["sketch_span"] = over_views("""
+SELECT category, count(*) AS rows, true AS rows_agree, count(DISTINCT due_date) AS exact_distinct,
+  true AS distinct_within_bound, true AS quantiles_within_bound
+FROM inv WHERE invoice_date BETWEEN DATE '1994-03-01' AND DATE '1997-02-28' GROUP BY 1""")
+
+ORACLE_SQL["level_table"] = over_views("""
+SELECT level, (row_number() OVER (ORDER BY level) - 1)::bigint AS level_id, rows
+FROM (SELECT split_part(invoice_id, '-', 3) AS level, count(*) AS rows FROM inv GROUP BY 1)""")
+
+ORACLE_SQL["sparse_one_hot"] = over_views("""
+, picked AS (
+  SELECT *, split_part(invoice_id, '-', 3) AS part FROM inv
+  WHERE split_part(invoice_id, '-', 1)::bigint % 2 = 0 OR NOT is_paid
+)
+, lv AS (
+  SELECT part, (row_number() OVER (ORDER BY part) - 1)::bigint AS level_id
+  FROM (SELECT part FROM picked WHERE is_paid GROUP BY 1 HAVING count(*) >= 8)
+)
+SELECT invoice_id, level_id, (level_id IS NOT NULL)::integer AS entries, (SELECT count(*) FROM lv)::integer AS size
+FROM picked LEFT JOIN lv USING (part) WHERE NOT is_paid""")
+
+ORACLE_SQL["cash_flow_calendar"] = over_views(
+    CASH_FLOW.replace(
+        ", monthly AS (",
+        """, gappy AS (SELECT * FROM bank WHERE (month(transaction_date) + 12 * year(transaction_date)) % 5 <> 0), present AS (""",
+        1,
+    )
+    .replace("FROM bank GROUP BY 1", "FROM gappy GROUP BY 1")
+    .replace(
+        "), moved AS (",
+        """), spine AS (
+  SELECT strftime(unnest(generate_series(min(transaction_date)::date - day(min(transaction_date))::integer + 1,
+    max(transaction_date)::date, INTERVAL 1 MONTH)), '%Y-%m') AS year_month FROM gappy
+), monthly AS (
+  SELECT year_month, coalesce(total_credits_zar, 0)::decimal(28,2) AS total_credits_zar,
+    coalesce(total_debits_zar, 0)::decimal(28,2) AS total_debits_zar,
+    coalesce(net_cash_flow_zar, 0)::decimal(28,2) AS net_cash_flow_zar,
+    coalesce(transaction_count, 0) AS transaction_count, coalesce(unreconciled_count, 0)::bigint AS unreconciled_count
+  FROM spine LEFT JOIN present USING (year_month)
+), moved AS (""",
+        1,
+    )
+)

@@ -118,18 +118,48 @@ def monthly_cash(transactions, entity=()):
     )
 
 
-def cash_flow_monthly(transactions, entity=()):
+def with_month_spine(monthly, entity=()):
+    """Every calendar month between an entity's first and last one; a month without lines has zeros.
+
+    The undated group stays as it is.
+    """
+    month = F.to_date(F.concat("year_month", F.lit("-01")))
+    span = monthly.where("year_month is not null").groupBy(*entity)
+    span = span.agg(F.min(month).alias("first"), F.max(month).alias("last"))
+    days = F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("start")
+    spine = span.select(*[F.col(c).alias(f"_{c}") for c in entity], days)
+    spine = spine.select(*[f"_{c}" for c in entity], r.month_key("start").alias("_month"))
+    same = F.col("year_month") == F.col("_month")
+    for c in entity:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    measures = [c for c in monthly.columns if c not in ("year_month", *entity)]
+    filled = spine.join(monthly, same, "left").select(
+        *[F.col(f"_{c}").alias(c) for c in entity],
+        F.col("_month").alias("year_month"),
+        *[
+            F.when(F.col("year_month").isNull(), F.lit(0)).otherwise(F.col(c)).cast(monthly.schema[c].dataType).alias(c)
+            for c in measures
+        ],
+    )
+    return filled.unionByName(monthly.where("year_month is null"))
+
+
+def cash_flow_monthly(transactions, entity=(), calendar=False):
     """Monthly cash with running balance, previous net and growth.
 
     The windows run over the monthly rows, of which there is one per month (and entity), never over
-    ledger lines. Previous means the previous month present; a zero previous net gives null growth.
+    ledger lines. Previous means the previous month present, or with ``calendar`` the previous calendar month, where
+    months without lines count as zero; a zero previous net gives null growth.
     """
     order = Window.partitionBy(*entity).orderBy(F.col("year_month").asc_nulls_first())
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     net, previous = F.col("net_cash_flow_zar"), F.col("prev_month_net_cash_flow")
     growth = F.lit(Decimal("100.0")) * (net - previous) / F.nullif(F.abs(previous), F.lit(0))
+    monthly = monthly_cash(transactions, entity)
+    if calendar:
+        monthly = with_month_spine(monthly, entity)
     return (
-        monthly_cash(transactions, entity)
+        monthly
         .withColumns(
             {
                 "running_cash_balance_zar": F.sum(net).over(running),

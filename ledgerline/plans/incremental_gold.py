@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions import fixed_values as fv
 from ledgerline.functions import rules as r
 from ledgerline.plans.gold import MASTER_COLUMNS, METRIC_COLUMNS
-from ledgerline.sources.bronze import path_on
+from ledgerline.sources.committed import commit, committed
+from ledgerline.sources.landing import names_in, path_on
 
 DAY = "ingested_date"
-DONE = "_COMMITTED"
 
 
 @dataclass(frozen=True)
@@ -112,38 +112,23 @@ def cash_measures():
 
 
 def versions(spark, root):
-    """Committed version folders, oldest first; a listing, no data."""
-    fs, path = path_on(spark, root)
-    if not fs.exists(path):
-        return []
-    found = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith("v="))
-    return [f"{root}/{name}" for name in found if fs.exists(path_on(spark, f"{root}/{name}/{DONE}")[1])]
+    """Committed version folders, oldest first."""
+    return [f"{root}/{name}" for name in committed(spark, root) if name.startswith("v=")]
 
 
 def next_version(spark, root):
     """A folder that neither a committed nor a lost update has used."""
-    fs, path = path_on(spark, root)
-    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-    last = max([int(n[2:]) for n in names if n.startswith("v=")], default=0)
+    last = max([int(n[2:]) for n in names_in(spark, root) if n.startswith("v=")], default=0)
     return f"{root}/v={last + 1:08d}"
 
 
-def commit(spark, version):
-    fs, path = path_on(spark, f"{version}/{DONE}")
-    if not fs.createNewFile(path):
-        raise RuntimeError(f"{version} is already committed")
-
-
 def state_folders(spark, root):
     """Landing day -> folder of its states, from the last committed version that has the day."""
     found = {}
     for version in versions(spark, root):
-        fs, path = path_on(spark, f"{version}/states")
-        if fs.exists(path):
-            for status in fs.listStatus(path):
-                name = status.getPath().getName()
-                if name.startswith(f"{DAY}="):
-                    found[name.split("=", 1)[1]] = f"{version}/states/{name}"
+        for name in names_in(spark, f"{version}/states"):
+            if name.startswith(f"{DAY}="):
+                found[name.split("=", 1)[1]] = f"{version}/states/{name}"
     return found
 
 

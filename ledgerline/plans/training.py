@@ -1,10 +1,11 @@
 """Training, evaluation and scoring of the late-payment classifier with Spark ML."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from math import ceil
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -26,8 +27,9 @@ from ledgerline.operators.features import (
 from ledgerline.operators.joins import invoices_with_supplier
 from ledgerline.operators.metrics import class_weights, classification_report, roc_auc
 from ledgerline.operators.splits import stratified_folds, stratified_split
-from ledgerline.session import use_checkpoint_dir
+from ledgerline.plans import run_ledger
 from ledgerline.plans.followup import insufficient_history
+from ledgerline.session import use_checkpoint_dir
 from ledgerline.sources.sinks import SCORE_COLUMNS
 
 RUN_SCHEMA = (
@@ -141,18 +143,27 @@ def vectors(columns):
     return VectorAssembler(inputCols=columns, outputCol="features")
 
 
-def cv_auc(prepared, model_type, folds=fv.FOLDS, weight=None, **overrides):
-    """AUC of each fold, by a model fitted on the other folds."""
+def in_parallel(spark, calls, parallelism):
+    """Results of all calls, some at a time: a fit on few rows is a long chain of small jobs that leaves cores idle."""
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+        return [w.result() for w in waiting]
+
+
+def cv_auc(prepared, model_type, folds=fv.FOLDS, weight=None, parallelism=None, **overrides):
+    """AUC of each fold, by a model fitted on the other folds; ``parallelism`` fits at a time, by default all."""
     use_checkpoint_dir(prepared.data.sparkSession)
     folded = stratified_folds(prepared.train, "label", "invoice_id", folds)
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    folded.count()  # kept once, before the folds ask for it at the same time
     n_rows = max(1, prepared.n_train * (folds - 1) // folds)
-    pipeline = estimator(model_type, n_rows, weight, **overrides)
-    parts = []
-    for fold in range(folds):
-        model = pipeline.fit(folded.where(F.col("fold") != fold))
+
+    def scored_fold(fold):
+        model = estimator(model_type, n_rows, weight, **overrides).fit(folded.where(F.col("fold") != fold))
         held_out = with_probability(model, folded.where(F.col("fold") == fold))
-        parts.append(held_out.select("fold", "label", "late_probability"))
+        return held_out.select("fold", "label", "late_probability")
+
+    parts = in_parallel(folded.sparkSession, [partial(scored_fold, fold) for fold in range(folds)], parallelism or folds)
     scored = reduce(lambda a, b: a.unionByName(b), parts)
     # one row per fold, cut off from the folds, which can then go
     per_fold = roc_auc(scored, group_cols=["fold"]).checkpoint()
@@ -233,33 +244,50 @@ MODEL_TYPES = ["GradientBoosting", "RandomForest", "LogisticRegression"]
 
 
 def train_all(spark, invoices, suppliers, root, run_date, with_cv=True, overrides=None, folds=fv.FOLDS):
-    """Fit, cross-validate, evaluate and store the three models; each run gets a row, a report and a model.
+    """Fit, cross-validate, evaluate and store the three models; each run gets a folder in the ledger.
 
-    ``overrides`` maps a model type to parameters. Gives the run rows of this call.
+    ``overrides`` maps a model type to parameters. A run whose rows and parameters are already in force is not fitted again, so
+    a retry goes on where the lost one stopped. Gives the run rows in force of this date.
     """
     use_checkpoint_dir(spark)
     prepared = prepare(invoices, suppliers)
-    runs = None
+    rows = run_ledger.rows_digest(prepared.data.drop("features"))
     for model_type in MODEL_TYPES:
         params = (overrides or {}).get(model_type, {})
         run_id = f"{run_date}-{model_type}"
-        model = fit_model(spark, prepared, model_type, **params)
-        scored = with_probability(model, prepared.test)
-        per_fold = cv_auc(prepared, model_type, folds, **params) if with_cv else None
-        run = run_row(spark, run_id, model_type, prepared, scored, per_fold)
-        report = classification_report(scored, threshold=0.5).withColumn("run_id", F.lit(run_id))
-        save_model(spark, model, prepared.fitted, f"{root}/models/{run_id}")
-        report.write.mode("overwrite").parquet(f"{root}/reports/{run_id}")
-        append_runs(run, f"{root}/runs")
-        runs = run if runs is None else runs.unionByName(run)
+        content = run_ledger.content_of(model_type, params, prepared.fitted.columns, rows, folds if with_cv else 0)
+        known = run_ledger.in_force(spark, root).get(run_id)
+        if known and known[1] == content:
+            continue
+        train_one(spark, prepared, model_type, params, root, run_id, content, folds if with_cv else 0)
     prepared.release()
-    return runs
+    return run_ledger.runs(spark, root).where(F.col("run_id").startswith(f"{run_date}-"))
+
+
+def train_one(spark, prepared, model_type, params, root, run_id, content, folds):
+    """One run: the fit and its cross-validation at the same time, then all its parts, then the marker."""
+    attempt, folder = run_ledger.new_attempt(spark, root, run_id, content)
+    calls = [partial(fit_model, spark, prepared, model_type, **params)]
+    if folds:
+        calls.append(partial(cv_auc, prepared, model_type, folds, **params))
+    model, per_fold = [*in_parallel(spark, calls, len(calls)), None][:2]
+    scored = with_probability(model, prepared.test)
+    run = run_row(spark, run_id, model_type, prepared, scored, per_fold)
+    save_model(spark, model, prepared.fitted, folder)
+    classification_report(scored, threshold=0.5).withColumn("run_id", F.lit(run_id)).write.parquet(f"{folder}/report")
+    if per_fold is not None:
+        per_fold.withColumn("model_type", F.lit(model_type)).write.parquet(f"{folder}/folds")
+    run.withColumns({"attempt": F.lit(attempt), "content": F.lit(content)}).write.parquet(f"{folder}/run")
+    run_ledger.finish(spark, folder)
 
 
 def load_best(spark, root):
-    """Run id, model and feature state of the best stored run."""
-    best = best_run(spark.read.parquet(f"{root}/runs")).first()
-    return (best.run_id, *load_model(spark, f"{root}/models/{best.run_id}"))
+    """Run id, model and feature state of the best run in force."""
+    best = best_run(run_ledger.runs(spark, root)).first()
+    if best is None:
+        raise ValueError(f"no committed run under {root}")
+    _, _, folder = run_ledger.in_force(spark, root)[best.run_id]
+    return (best.run_id, *load_model(spark, folder))
 
 
 def score_with_best(spark, invoices, suppliers, root):

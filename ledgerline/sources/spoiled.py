@@ -80,3 +80,12 @@ def raw_double_payments(spark, sf_dir, as_of=binding.AS_OF):
         "transaction_date": F.date_add("transaction_date", F.col("shift")),
     }
     return copies.select(*[changed.get(c, F.col(c)).alias(c) for c in clean.columns if c != "k"])
+
+
+def raw_patterned_invoices(spark, sf_dir, as_of=binding.AS_OF):
+    """The clean invoices with a pattern to learn: suppliers of three categories always pay late, of five never."""
+    clean = binding.raw_invoices(spark, sf_dir, as_of)
+    k = F.pmod(F.col("supplier_id").cast("bigint"), F.lit(10))
+    coin = F.pmod(F.crc32("invoice_id"), F.lit(2)) == 0
+    late = F.col("is_paid") & ((k < 3) | ((k < 5) & coin))
+    return clean.withColumn("is_late", late)

@@ -15,7 +15,7 @@ from ledgerline.operators.features import (
 )
 from ledgerline.operators.joins import invoices_with_supplier
 from ledgerline.operators.quality import dq_not_null, silver_report
-from ledgerline.plans import daily, training
+from ledgerline.plans import daily, run_ledger, training
 from ledgerline.schemas import BRONZE_COLUMNS
 from ledgerline.sources import bronze, landing, sinks
 from ledgerline.streaming.incremental import bronze_incremental
@@ -305,15 +305,30 @@ def test_training_flow_leads_from_runs_to_scores(spark, tmp_path, make_invoices,
     root = str(tmp_path)
     short = {"GradientBoosting": {"maxIter": 2}, "RandomForest": {"numTrees": 2}, "LogisticRegression": {"maxIter": 5}}
     training.train_all(spark, make_invoices(*rows), masters, root, "d1", overrides=short, folds=2)
-    runs = spark.read.parquet(f"{root}/runs").collect()
+    runs = run_ledger.runs(spark, root).collect()
     assert sorted(run.model_type for run in runs) == sorted(training.MODEL_TYPES)
-    assert all(run.cv_auc_mean is not None for run in runs)
-    assert spark.read.parquet(f"{root}/reports/d1-RandomForest").count() == 5
+    assert all(run.cv_auc_mean is not None and run.attempt == 1 for run in runs)
+    assert run_ledger.reports(spark, root).where("run_id = 'd1-RandomForest'").count() == 5
+    assert run_ledger.folds(spark, root).count() == 6
     run_id, _, _ = training.load_best(spark, root)
     assert run_id == "d1-GradientBoosting"
     scored, apart = training.score_with_best(spark, make_invoices(*rows), masters, root)
     assert {row.invoice_id: row.run_id for row in scored.collect()} == {"O0": run_id, "O1": run_id}
     assert [row.invoice_id for row in apart.collect()] == ["O2"]
+    # a retry on the same rows fits nothing again; other parameters are the next attempt, with a model of their own
+    before = run_ledger.in_force(spark, root)
+    training.train_all(spark, make_invoices(*rows), masters, root, "d1", overrides=short, folds=2)
+    assert run_ledger.in_force(spark, root) == before
+    deeper = {**short, "GradientBoosting": {"maxIter": 3}}
+    training.train_all(spark, make_invoices(*rows), masters, root, "d1", overrides=deeper, folds=2)
+    after = run_ledger.in_force(spark, root)
+    assert [after[i] != before[i] for i in sorted(after)] == [True, False, False]
+    assert after["d1-GradientBoosting"][0] == 2 and run_ledger.runs(spark, root).count() == 3
+    assert training.load_best(spark, root)[1].stages[-1].getNumTrees == 3
+    # an attempt that was lost before its marker is not seen
+    lost, folder = run_ledger.new_attempt(spark, root, "d1-GradientBoosting", "0" * 16)
+    training.save_model(spark, training.load_best(spark, root)[1], training.load_best(spark, root)[2], folder)
+    assert lost == 3 and run_ledger.in_force(spark, root) == after
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
