@@ -18,6 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm import common
+
+#: Pieces in a shard, about.
 SHARD_ROWS = 8192
 
 PACKED = "doc_id long, piece int, start_word long, n_words long, shard int, bin int, place long"
@@ -100,7 +103,10 @@ def pack(
         cluster.alias("cluster"),
         F.coalesce(size, F.lit(0)).cast("long").alias("total"),
     )
-    shards = max(1, ceil(df.count() / SHARD_ROWS))
+    # sizes are worked out once; shards are counted by pieces, so that long documents do not fill one
+    rows = common.stored(rows, "packing-sizes")
+    pieces = rows.agg(F.sum(F.greatest(F.ceil(F.col("total") / F.lit(capacity)), F.lit(1)))).first()[0]
+    shards = max(1, ceil((pieces or 0) / SHARD_ROWS))
     shard = F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(shards)).cast("int")
 
     def pack_shard(group: pd.DataFrame) -> pd.DataFrame:

@@ -84,3 +84,18 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{200 + i: 100 for i in range(50)}, 100: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_stage_keeps_columns_of_any_name_and_type(spark):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    rows = awkward(spark)
+    extra = {c: F.lit(1) for c in ("gone", "again", "id", "rows", "component_id")}
+    docs = rows.withColumns({**extra, "tags": F.create_map(F.lit("a"), F.col("doc_id"))})
+    kept = corpus_pipeline.near_dup_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted((r.doc_id is not None, r.doc_id or 0) for r in kept.collect())
+    plain = corpus_pipeline.near_dup_stage(spark, rows, "").collect()
+    assert found == sorted((r.doc_id is not None, r.doc_id or 0) for r in plain)
+    assert (True, 1) in found and (True, 2) not in found and (False, 0) in found

@@ -83,3 +83,20 @@ def test_awkward_rows(spark):
     assert {r["doc_id"] for r in out if r["bin_id"] is None} == {3, 4, 5}
     assert len({r["bin_id"] for r in whole if r["doc_id"] in (1, 2, None)}) == 4
     assert packed(df.limit(0)) == []
+
+
+def test_shards_are_counted_by_pieces(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm import packing
+
+    monkeypatch.setattr(packing, "SHARD_ROWS", 100)
+    docs = spark.createDataFrame([(i, f"s{i % 3}", 3000 + i) for i in range(20)], "doc_id long, source string, size long")
+    packed = packing.pack(docs, F.col("size"), F.col("doc_id"), capacity=16).collect()
+    shards = {}
+    for r in packed:
+        shards.setdefault(r.bin_id >> 32, []).append(r)
+    pieces = sum(-(-(3000 + i) // 16) for i in range(20))
+    assert len(packed) == pieces and len(shards) > pieces // 150
+    assert max(map(len, shards.values())) < 200
+    assert sum(r.n_words for r in packed) == sum(3000 + i for i in range(20))
