@@ -1385,3 +1385,9 @@ ORACLE_SQL["cash_flow_calendar"] = over_views(
         1,
     )
 )
+
+ORACLE_SQL["digest_diff"] = DIFF_VIEWS + DIFF + "SELECT * FROM changes WHERE change <> 'UNCHANGED'"
+ORACLE_SQL["digest_changes"] = ORACLE_SQL["snapshot_changes"]
+ORACLE_SQL["digest_diff_few"] = over_views("""
+SELECT 'CHANGED' AS change, count(*) AS rows, true AS opened_few FROM raw_invoices
+WHERE starts_with(invoice_id, '1-') HAVING count(*) > 0""")

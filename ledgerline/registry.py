@@ -16,7 +16,7 @@ from ledgerline.operators.silver import (
     silver_suppliers,
     without_audit,
 )
-from ledgerline.plans import benchmark, daily, explore, followup, gold, incremental_gold, operations, run_ledger, sketches, training
+from ledgerline.plans import benchmark, daily, digest_diff as digests, explore, followup, gold, incremental_gold, operations, run_ledger, sketches, training
 from ledgerline.session import shared_dir, use_checkpoint_dir
 from ledgerline.sources import binding, bronze, landing, sinks, spoiled
 from ledgerline.sources.binding import AS_OF
@@ -1254,3 +1254,37 @@ def snapshot_changes(spark, d):
     return followup.snapshot_changes(
         issued_by(spark, d, "2000-07-01"), issued_by(spark, d, AS_OF), "invoice_id"
     )
+
+
+def stored_snapshots(spark, root, before, after):
+    for name, df in (("before", before), ("after", after)):
+        digests.store_digests(df, "invoice_id", f"{root}/{name}", buckets=128, group=16)
+    return f"{root}/before", f"{root}/after"
+
+
+@query
+def digest_diff(spark, d):
+    """The changed, added and removed invoices between two stored snapshots."""
+    root = shared_dir(spark, "digests")
+    paths = stored_snapshots(spark, root, issued_by(spark, d, "2000-07-01"), issued_by(spark, d, AS_OF))
+    return digests.digest_diff(spark, *paths, "invoice_id")
+
+
+@query
+def digest_changes(spark, d):
+    root = shared_dir(spark, "digests")
+    paths = stored_snapshots(spark, root, issued_by(spark, d, "2000-07-01"), issued_by(spark, d, AS_OF))
+    return digests.digest_changes(spark, *paths, "invoice_id")
+
+
+@query
+def digest_diff_few(spark, d):
+    """Snapshots that differ in one order's invoices: no more buckets are opened than invoices changed."""
+    root = shared_dir(spark, "digests")
+    before = binding.raw_invoices(spark, d)
+    changed = F.col("invoice_id").startswith("1-")
+    paid = F.when(changed, "Settled").otherwise(F.col("invoice_status"))
+    paths = stored_snapshots(spark, root, before, before.withColumn("invoice_status", paid))
+    opened = digests.opened_buckets(spark, *paths)
+    found = digests.digest_diff(spark, *paths, "invoice_id", opened)
+    return found.groupBy("change").agg(F.count("*").alias("rows"), (F.count("*") >= len(opened)).alias("opened_few"))
