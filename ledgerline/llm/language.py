@@ -4,7 +4,10 @@ A text becomes a vector of hashed character n-grams (1 to 3 letters, words bound
 scaled to length 1. Document frequencies come from all learning documents. Per language, spherical k-means
 over a bounded sample (``FIT_ROWS`` expected per language, chosen by hash of the id) gives several centroids; a text gets the
 language of the centroid with the highest cosine, its score. It is rejected if it has no letter, or if it is further
-from that centroid than the language's own texts of its length are: cosine below mean minus ``SPREAD`` deviations.
+from that centroid than the language's own texts of its length are: cosine below mean minus ``SPREAD`` deviations, both
+taken over all learning rows by language and band of length. A band with fewer than ``BAND_ROWS`` rows takes the floor of
+the nearest one that has them, times the square root of the lengths' ratio if it is shorter (cosines of short texts fall like
+that), over its fourth root if it is longer (many more n-grams occur in long texts).
 
 Null texts and texts without a letter are ``und`` with score 0, and rejected. Rows with a null language or null id
 teach nothing. Repeated rows get equal results; ties go to the language first in order. If there is nothing to
@@ -27,6 +30,7 @@ FIT_ROWS = 2000
 CENTROIDS = 3
 BANDS = 24
 SPREAD = 6.0
+BAND_ROWS = 20
 CHUNK = 256
 
 
@@ -153,25 +157,61 @@ def learn(docs: DataFrame, learnable: Column, doc_id="doc_id", text="text", lang
         x, size = gram_matrix(group["text"].tolist(), idf)
         x, size = x[size > 0], size[size > 0]
         if not len(x):
-            return pd.DataFrame({"lang": [], "centre": [], "floor": []})
+            return pd.DataFrame({"lang": [], "centre": []})
         centres = centroids_of(x, CENTROIDS)
-        cosine = (x @ centres.T).max(axis=1)
-        floors = np.zeros(BANDS)
-        for b in range(BANDS):
-            own = cosine[band(size) == b]
-            if len(own) >= 20:
-                floors[b] = max(0.0, own.mean() - SPREAD * own.std())
-        name = group["lang"].iloc[0]
-        return pd.DataFrame({"lang": [name] * len(centres), "centre": list(centres), "floor": [floors] * len(centres)})
-
-    found = sample.groupBy("lang").applyInPandas(cluster, "lang string, centre array<float>, floor array<double>").toPandas()
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(centres), "centre": list(centres)})
+
+    found = sample.groupBy("lang").applyInPandas(cluster, "lang string, centre array<float>").toPandas()
     found = found.sort_values("lang", kind="stable")
-    return Languages(
-        idf,
-        found["lang"].tolist(),
-        np.array(found["centre"].tolist(), dtype=np.float32).reshape(-1, SLOTS),
-        np.array(found["floor"].tolist(), dtype=float).reshape(-1, BANDS),
-    )
+    names = found["lang"].tolist()
+    centres = np.array(found["centre"].tolist(), dtype=np.float32).reshape(-1, SLOTS)
+    floors = learned_floors(rows, names, centres, idf)
+    return Languages(idf, names, centres, np.array([floors[n] for n in names], dtype=float).reshape(-1, BANDS))
+
+
+def learned_floors(rows: DataFrame, names: list[str], centres: np.ndarray, idf: np.ndarray) -> dict[str, np.ndarray]:
+    """Floors of each language by band, from one pass over all learning rows; tasks send sums only."""
+    own = {name: centres[[i for i, n in enumerate(names) if n == name]] for name in names}
+
+    def cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {name: np.zeros((3, BANDS)) for name in own}
+        for batch in batches:
+            for name, group in batch.groupby("lang"):
+                for at in range(0, len(group) if name in own else 0, CHUNK):
+                    x, size = gram_matrix(group["text"].tolist()[at : at + CHUNK], idf)
+                    x, size = x[size > 0], size[size > 0]
+                    cosine = (x @ own[name].T).max(axis=1).astype(float) if len(x) else np.empty(0)
+                    for i in range(3):
+                        sums[name][i] += np.bincount(band(size), weights=cosine**i, minlength=BANDS)
+        for name, (n, total, squares) in sums.items():
+            yield pd.DataFrame({"lang": name, "band": np.arange(BANDS), "n": n, "total": total, "squares": squares})
+
+    schema = "lang string, band int, n double, total double, squares double"
+    found = rows.select("text", "lang").mapInPandas(cosines, schema).groupBy("lang", "band")
+    # one row per language and band
+    found = found.agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")]).toPandas()
+    out = {name: np.zeros(BANDS) for name in own}
+    for name, group in found.groupby("lang"):
+        table = np.zeros((3, BANDS))
+        table[:, group["band"].to_numpy()] = group[["n", "total", "squares"]].to_numpy().T
+        out[name] = floors_of(*table)
+    return out
+
+
+def floors_of(n: np.ndarray, total: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """Floor of every band from counts, sums and sums of squares of the cosines in it."""
+    bands = np.flatnonzero(n >= BAND_ROWS)
+    if not len(bands):  # all rows together, at the mean of their bands
+        if not n.sum():
+            return np.zeros(BANDS)
+        bands = np.array([int(round((n * np.arange(BANDS)).sum() / n.sum()))])
+        n, total, squares = (np.full(BANDS, v.sum()) for v in (n, total, squares))
+    mean = total[bands] / n[bands]
+    deviation = np.sqrt(np.maximum(squares[bands] / n[bands] - mean**2, 0))
+    floors = np.maximum(mean - SPREAD * deviation, 0)
+    nearest = np.abs(np.arange(BANDS)[:, None] - bands).argmin(axis=1)
+    away = np.arange(BANDS) - bands[nearest]
+    return floors[nearest] * 2.0 ** np.where(away < 0, away / 2, -away / 4)
 
 
 def predictor(model: Languages):

@@ -1,10 +1,11 @@
 """Classifier, language identification and masked scores: held-out accuracy, gradients, awkward rows."""
 
+import math
 import os
 
 import numpy as np
 import pytest
-from helpers import awkward, docs, text
+from helpers import awkward, docs, text, words
 from pyspark.sql import functions as F
 
 from ledgerline.llm import language, pseudo_likelihood, quality_model
@@ -92,6 +93,41 @@ def test_far_texts_are_rejected(spark):
     assert got["rejected"].tolist() == [False, True]
 
 
+def test_far_texts_are_rejected_at_every_length(spark):
+    own = docs(spark, [(i, text(i, 60), "en", "s") for i in range(300)])
+    model = language.learn(own, F.lit(True))
+    for n in (3, 8, 60, 10_000):
+        far = " ".join(w.translate(str.maketrans("aeiouknlmprstvz", "аеиоуклнмпрствз")) for w in words(n, n))
+        assert model.predict([text(("near", n), n), far])["rejected"].tolist() == [False, True], n
+
+
+def test_floors_use_all_rows_and_the_nearest_band():
+    n = np.zeros(language.BANDS)
+    n[[4, 9]] = 100, 5
+    floors = language.floors_of(n, n * 0.5, n * 0.26)
+    assert floors[4] == pytest.approx(max(0, 0.5 - 6 * 0.1)) and (language.floors_of(n * 0, n, n) == 0).all()
+    floors = language.floors_of(n, n * 0.5, n * 0.2501)
+    assert floors[4] == pytest.approx(0.44) and floors[8] == floors[20] * 8 == pytest.approx(0.22)
+    assert floors[2] == pytest.approx(0.22)
+    few = language.floors_of(n / 10, n * 0.05, n * 0.02501)
+    assert few[4] == pytest.approx(0.44)
+
+
+def test_language_is_the_nearest_centroids(spark):
+    """Against cosines worked out word by word, in plain Python."""
+    rows = [(i, text(i, 5 + i), "en") for i in range(40)]
+    rows += [(100 + i, " ".join(f"qu{'xyz'[(i + j) % 3]}o" for j in range(6 + i)), "xx") for i in range(40)]
+    model = language.learn(docs(spark, [(*r, "s") for r in rows]), F.lit(True))
+    for body in [rows[3][1], rows[50][1], "quxo kalo", "mixed quyo " + text("m", 4)]:
+        counts = language.gram_counts(body)
+        vector = [math.log1p(c) * float(w) for c, w in zip(counts.tolist(), model.idf.tolist())]
+        norm = math.sqrt(sum(v * v for v in vector))
+        cosines = [sum(v * float(c) for v, c in zip(vector, centre)) / norm for centre in model.centres.tolist()]
+        got = model.predict([body]).iloc[0]
+        assert got["lang_pred"] == model.names[max(range(len(cosines)), key=lambda i: cosines[i])]
+        assert got["score"] == pytest.approx(max(cosines), abs=1e-4)
+
+
 def test_gradients_of_the_window_network():
     rng = np.random.default_rng(2)
     net = pseudo_likelihood.WindowNetwork()

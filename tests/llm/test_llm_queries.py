@@ -16,7 +16,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tab
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
