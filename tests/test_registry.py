@@ -13,7 +13,7 @@ from ledgerline.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 #: Hundreds of small jobs each; the unit tests of the models fit shorter ones. check_oracle.py compares them too.
-LONG = {"train_gbt", "train_rf", "training_flow"}
+LONG = {"train_gbt", "train_rf", "training_flow", "model_runs", "best_run", "cv_auc", "score_open_invoices", "open_invoice_tiers"}
 WITHOUT_SQL = set()
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
