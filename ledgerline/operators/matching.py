@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import fixed_values as fv
 from ledgerline.functions import rules as r
+from ledgerline.session import shared_dir
 
 #: Positions in a cell: days, or cents.
 CELL_DAYS, CELL_CENTS = 512, 5_000
@@ -85,6 +86,12 @@ def match_runs(payments, invoices, keys, slack, width):
     def events(df, shift, kind):
         return df.select(*keys, (F.col("at") + whole(shift)).alias("at"), F.lit(kind).alias("kind"), "n")
 
+    points = events(counted, 0, PAYMENT).unionByName(events(offered, 0, OPENS))
+    # both tables are read once: the sweep goes over their distinct points several times
+    path = shared_dir(points.sparkSession, "match-points")
+    points.write.parquet(path)
+    points = points.sparkSession.read.schema(points.schema).parquet(path)
+    counted, offered = (points.where(F.col("kind") == kind).drop("kind") for kind in (PAYMENT, OPENS))
     every = (
         events(counted, 0, PAYMENT)
         .unionByName(events(offered, -slack, OPENS))
