@@ -24,6 +24,8 @@ CSV_WRITE = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+#: How large tables are delivered: compressed, in files that one task each reads in moderate time.
+DELIVERY = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
 #: Holds the text of a record that does not fit its header; null elsewhere.
 CORRUPT = "_corrupt_record"
 #: Files opened at a time.
@@ -59,8 +61,8 @@ def read_csv(spark, path):
     return spark.read.options(**CSV_READ).csv(path)
 
 
-def write_csv(df, path, mode="overwrite"):
-    df.write.mode(mode).options(**CSV_WRITE).csv(path)
+def write_csv(df, path, mode="overwrite", **options):
+    df.write.mode(mode).options(**CSV_WRITE, **options).csv(path)
 
 
 def land_bronze(spark, source, root, dataset, run_date):
@@ -87,13 +89,15 @@ def land_all(spark, files, root, run_date):
 
 
 def header_of(spark, path):
-    """Column names of a file; a repeated name gets a number. Empty for an empty file.
+    """Column names of a file, which may be compressed; a repeated name gets a number. Empty for an empty file.
 
     A quoted name may hold line breaks: lines are read until the quotes are closed.
     """
     fs, hadoop_path = path_on(spark, path)
-    io = spark.sparkContext._jvm.java.io
-    reader = io.BufferedReader(io.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
+    io, compress = spark.sparkContext._jvm.java.io, spark.sparkContext._jvm.org.apache.hadoop.io.compress
+    codec = compress.CompressionCodecFactory(fs.getConf()).getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    reader = io.BufferedReader(io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
     try:
         text = reader.readLine() or ""
         while text.count('"') % 2:
