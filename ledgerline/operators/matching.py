@@ -8,8 +8,8 @@ The size of that matching needs no pairs. By Hall's condition the payments left
 of the axis, of payments in a stretch minus invoices that reach into it. A sweep over the sorted positions carries
 three numbers: invoices now in reach, the best sum so far, and the best sum with a stretch still open. Equal positions are one row
 with a count. A key's axis is cut into cells; in terms of the last two numbers a cell is a 2 x 2 matrix of the
-(max, +) algebra, so cells are swept independently, then chained per key on their four numbers, then swept again from their
-true start. A hot key is thus many cells, and a cell holds at most three rows per position, however many payments share it.
+(max, +) algebra, so cells are swept independently, then chained on their four numbers, then swept again from their
+true start. Only cells that an invoice's reach links are chained; any other begins from nothing and is swept once. A hot key is thus many cells, and a cell holds at most three rows per position, however many payments share it.
 """
 
 from datetime import date
@@ -54,16 +54,17 @@ def swept(events, reach, best, running):
 
 
 def traced(events, reach, best, running):
-    """Per payment position: left over there, and whether any invoice is in reach."""
+    """Per payment position: payments, those left over there, and whether any invoice is in reach."""
     start = F.struct(
         state(reach, best, running).alias("s"),
-        F.array().cast("array<struct<at:bigint,left_over:bigint,near:boolean>>").alias("out"),
+        F.array().cast("array<struct<at:bigint,payments:bigint,left_over:bigint,near:boolean>>").alias("out"),
     )
 
     def step(acc, event):
         after = moved(acc["s"], event)
         found = F.struct(
             event["at"].alias("at"),
+            event["n"].alias("payments"),
             (after["best"] - acc["s"]["best"]).alias("left_over"),
             (acc["s"]["reach"] > 0).alias("near"),
         )
@@ -83,38 +84,42 @@ def match_runs(payments, invoices, keys, slack, width):
     counted = payments.groupBy(*keys, F.col("at").cast("long").alias("at")).agg(F.count("*").alias("n"))
     offered = invoices.groupBy(*keys, F.col("at").cast("long").alias("at")).agg(F.count("*").alias("n"))
 
-    def events(df, shift, kind):
-        return df.select(*keys, (F.col("at") + whole(shift)).alias("at"), F.lit(kind).alias("kind"), "n")
+    def event(shift, kind):
+        return F.struct((F.col("at") + whole(shift)).alias("at"), F.lit(kind).alias("kind"), "n")
 
-    points = events(counted, 0, PAYMENT).unionByName(events(offered, 0, OPENS))
-    # both tables are read once: the sweep goes over their distinct points several times
-    path = shared_dir(points.sparkSession, "match-points")
-    points.write.parquet(path)
-    points = points.sparkSession.read.schema(points.schema).parquet(path)
-    counted, offered = (points.where(F.col("kind") == kind).drop("kind") for kind in (PAYMENT, OPENS))
     every = (
-        events(counted, 0, PAYMENT)
-        .unionByName(events(offered, -slack, OPENS))
-        .unionByName(events(offered, slack, CLOSES))
-        .withColumn("cell", F.floor(F.col("at") / F.lit(width)).cast("long"))
+        counted.select(*keys, event(0, PAYMENT).alias("event"))
+        .unionByName(offered.select(*keys, F.explode(F.array(event(-slack, OPENS), event(slack, CLOSES))).alias("event")))
+        .withColumn("cell", F.floor(F.col("event.at") / F.lit(width)).cast("long"))
     )
-    in_reach = F.when(F.col("kind") == OPENS, F.col("n")).when(F.col("kind") == CLOSES, -F.col("n")).otherwise(whole(0))
+    kind, n = F.col("event.kind"), F.col("event.n")
+    in_reach = F.when(kind == OPENS, n).when(kind == CLOSES, -n).otherwise(whole(0))
     cells = every.groupBy(*keys, "cell").agg(
-        F.sort_array(F.collect_list(F.struct("at", "kind", "n"))).alias("events"), F.sum(in_reach).alias("gained")
+        F.sort_array(F.collect_list("event")).alias("events"), F.sum(in_reach).alias("gained")
     )
-    before = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    reach = cells.select(*keys, "cell", F.coalesce(F.sum("gained").over(before), whole(0)).alias("reach"))
-    cells = cells.drop("gained").join(reach, [*keys, "cell"])
-
+    # both tables are read once: what follows goes over the cells several times
+    path = shared_dir(cells.sparkSession, "match-cells")
+    cells.write.parquet(path)
+    cells = cells.sparkSession.read.schema(cells.schema).parquet(path)
+
+    # where no invoice is in reach at a cell's start the sweep begins anew: only cells of one run depend on each other
+    ordered = Window.partitionBy(*keys).orderBy("cell")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    reach = cells.select(*keys, "cell", "gained", F.coalesce(F.sum("gained").over(before), whole(0)).alias("reach"))
+    run = F.sum(F.when(F.col("reach") == 0, 1).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    linked = reach.withColumn("run", run).where("reach > 0 or reach + gained > 0").drop("gained")
     from_best = swept("events", F.col("reach"), whole(0), whole(NEVER))
     from_running = swept("events", F.col("reach"), whole(NEVER), whole(0))
-    effects = cells.select(*keys, "cell", from_best.alias("b"), from_running.alias("r"))
-    chain = effects.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("cell", "b", "r"))).alias("cells"))
+    effects = cells.drop("gained").join(linked, [*keys, "cell"])
+    effects = effects.select(*keys, "run", F.struct("cell", "reach", from_best.alias("b"), from_running.alias("r")).alias("of"))
+    chain = effects.groupBy(*keys, "run").agg(F.sort_array(F.collect_list("of")).alias("cells"))
 
     def link(acc, cell):
         best = F.greatest(acc["best"] + cell["b"]["best"], acc["running"] + cell["r"]["best"])
         running = F.greatest(acc["best"] + cell["b"]["running"], acc["running"] + cell["r"]["running"])
-        start = F.struct(cell["cell"].alias("cell"), acc["best"].alias("best"), acc["running"].alias("running"))
+        start = F.struct(
+            cell["cell"].alias("cell"), cell["reach"].alias("reach"), acc["best"].alias("best"), acc["running"].alias("running")
+        )
         # sums below NEVER stand for "impossible" and must not sink further from cell to cell
         floor = whole(NEVER)
         return F.struct(
@@ -126,13 +131,11 @@ def match_runs(payments, invoices, keys, slack, width):
     nothing = F.struct(
         whole(0).alias("best"),
         whole(NEVER).alias("running"),
-        F.array().cast("array<struct<cell:bigint,best:bigint,running:bigint>>").alias("starts"),
+        F.array().cast("array<struct<cell:bigint,reach:bigint,best:bigint,running:bigint>>").alias("starts"),
     )
     starts = chain.select(*keys, F.inline(F.aggregate("cells", nothing, link, lambda acc: acc["starts"])))
-    traces = cells.join(starts, [*keys, "cell"]).select(
-        *keys, F.inline(traced("events", F.col("reach"), F.col("best"), F.col("running")))
-    )
-    return counted.join(traces, [*keys, "at"]).select(*keys, "at", F.col("n").alias("payments"), "left_over", "near")
+    begun = [F.coalesce(F.col(c), whole(fresh)) for c, fresh in (("reach", 0), ("best", 0), ("running", NEVER))]
+    return cells.join(starts, [*keys, "cell"], "left").select(*keys, F.inline(traced("events", *begun)))
 
 
 def cents(column):

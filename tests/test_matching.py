@@ -81,3 +81,11 @@ def test_no_rows_and_wrong_arguments(make_bank, make_invoices):
     for wrong in ({"axis": "weeks"}, {"axis": "amount", "tolerance": "0.001"}, {"days": -1}):
         with pytest.raises(ValueError):
             matching.recon_one_to_one(make_bank(), make_invoices(), **wrong)
+
+
+def test_the_points_are_not_joined_again(spark):
+    sides = [spark.createDataFrame([("k", at) for at in places], "key string, at long") for places in ([1, 9], [2, 30])]
+    found = matching.match_runs(*sides, ["key"], 3, 1000)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2, plan  # linked cells with their events, all cells with the linked ones' starts
+    assert {tuple(r) for r in found.collect()} == {("k", 1, 1, 0, True), ("k", 9, 1, 1, False)}
