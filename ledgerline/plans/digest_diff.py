@@ -1,7 +1,7 @@
 """Snapshot comparison by stored digests: what is equal on both sides is not opened.
 
-When a snapshot lands, ``store_digests`` keeps one row per key (how many rows, two sums of row hashes), dealt to buckets by the key's
-hash, and above them one digest per bucket and one per group of buckets. Two snapshots are compared from the top: only groups
+When a snapshot lands, ``store_digests`` keeps one row per key (two digests of how many rows it has and of the sums of their hashes), dealt
+to buckets by the key's hash, and above them one digest per bucket and one per group of buckets. Two snapshots are compared from the top: only groups
 that differ have their buckets compared, only buckets that differ have their keys read and joined. With few changes the work
 follows the changes, not the tables. Buckets hold distinct keys, so a key with many rows makes no bucket large.
 
@@ -9,6 +9,9 @@ A null key is a key like any other; rows that share a key are one entry. The lis
 bucket numbers, as many as were asked for. Snapshots must be stored with the same numbers of buckets.
 """
 
+from contextlib import contextmanager
+from math import ceil
+
 from pyspark.sql import functions as F
 
 BUCKETS, GROUP = 1024, 32
@@ -19,16 +22,41 @@ def summed(*columns):
     return [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")).alias(f"h{seed}") for seed in (1, 2)]
 
 
+def halves(*columns):
+    """The sums of ``summed`` as sums of 32-bit halves: whole numbers of 8 bytes, for up to two thousand million rows a key."""
+    low, out = F.lit(0xFFFFFFFF), []
+    for seed in (1, 2):
+        h = F.xxhash64(F.lit(seed), *columns)
+        out += [F.sum(h.bitwiseAND(low)).alias(f"low{seed}"), F.sum(F.shiftrightunsigned(h, 32)).alias(f"high{seed}")]
+    return out
+
+
+@contextmanager
+def groups_dealt(spark, buckets):
+    """Groups go to a multiple of ``buckets`` tasks. ``hash`` is also what Spark deals groups by, so a bucket's keys then come to
+    few tasks and need no second shuffle to lie in few files; under other settings there are only more files."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, buckets * ceil(int(before) / buckets))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def store_digests(df, key, path, buckets=BUCKETS, group=GROUP):
     """Write the digests of a snapshot to ``path``: keys by bucket, buckets, groups."""
     spark = df.sparkSession
     columns = [c for c in sorted(df.columns) if c not in (key, "ingested_date")]
     row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))
-    of_keys = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"), *summed(row))
-    dealt = of_keys.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
-    dealt.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/keys")
+    of_keys = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"), *halves(row))
+    # the rows of a key as two numbers: they are shuffled twice more
+    entry = [F.xxhash64(F.lit(seed), "n", "low1", "high1", "low2", "high2").alias(f"h{seed}") for seed in (1, 2)]
+    dealt = of_keys.select("key", *entry).withColumn("bucket", F.pmod(F.hash("key"), F.lit(buckets)).cast("int"))
+    with groups_dealt(spark, buckets):
+        dealt.write.partitionBy("bucket").parquet(f"{path}/keys")
     keys = spark.read.schema(dealt.schema).parquet(f"{path}/keys")
-    leaves = keys.groupBy("bucket").agg(F.count("*").alias("keys"), *summed("key", "n", "h1", "h2"))
+    leaves = keys.groupBy("bucket").agg(F.count("*").alias("keys"), *summed("key", "h1", "h2"))
     leaves = leaves.withColumns({"part": F.floor(F.col("bucket") / group).cast("int"), "buckets": F.lit(buckets)})
     leaves.coalesce(1 + buckets // 100_000).write.parquet(f"{path}/buckets")
     stored = spark.read.parquet(f"{path}/buckets")
@@ -40,7 +68,7 @@ def store_digests(df, key, path, buckets=BUCKETS, group=GROUP):
 
 def read_keys(spark, path):
     key = spark.read.parquet(f"{path}/groups").schema["key"]
-    kinds = "n long, h1 decimal(38,0), h2 decimal(38,0), bucket int"
+    kinds = "h1 long, h2 long, bucket int"
     return spark.read.schema(f"key {key.dataType.simpleString()}, {kinds}").parquet(f"{path}/keys")
 
 
@@ -72,7 +100,7 @@ def digest_diff(spark, before, after, key, opened=None):
     sides = [
         read_keys(spark, path)
         .where(F.col("bucket").isin(opened))
-        .select(F.col("key").alias(f"_key{i}"), F.struct("n", "h1", "h2").alias(f"_d{i}"))
+        .select(F.col("key").alias(f"_key{i}"), F.struct("h1", "h2").alias(f"_d{i}"))
         for i, path in enumerate((before, after))
     ]
     joined = sides[0].join(sides[1], F.col("_key0").eqNullSafe(F.col("_key1")), "full")

@@ -53,3 +53,16 @@ def test_other_bucket_numbers_are_refused(spark, tmp_path):
     assert [tuple(r) for r in found] == [("a", "ADDED")]
     counts = digest_diff.digest_changes(spark, f"{tmp_path}/c", f"{tmp_path}/c", "id")
     assert counts.count() == 0
+
+
+def test_keys_are_stored_after_one_shuffle_as_short_rows(spark, tmp_path):
+    rows = [(f"k{i}", i, "x", "d") for i in range(2000)] + [(None, 1, "n", "d")] + [("hot", i, "h", "d") for i in range(500)]
+    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
+    digest_diff.store_digests(spark.createDataFrame(rows, SCHEMA).repartition(6), "id", f"{tmp_path}/a", buckets=16, group=4)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == shuffle
+    keys = digest_diff.read_keys(spark, f"{tmp_path}/a")
+    assert [t for _, t in keys.dtypes] == ["string", "bigint", "bigint", "int"]
+    assert keys.count() == keys.distinct().count() == 2002
+    per_bucket = -(-max(int(shuffle), 1) // 16)
+    for bucket in glob.glob(f"{tmp_path}/a/keys/bucket=*"):
+        assert len(glob.glob(f"{bucket}/*.parquet")) <= per_bucket
