@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.sources import binding
 
-
-def order_rest(column):
-    """Order number of an invoice id, modulo 40."""
-    return F.pmod(F.split(column, "-")[0].cast("bigint"), F.lit(40))
+#: First number of an invoice id, modulo 40: the order number, or what follows it in the id where that is null.
+ORDER_REST = "pmod(coalesce(l_orderkey, l_linenumber, l_partkey, l_suppkey, int(l_quantity)), 40)"
 
 
 def raw_invoices(spark, sf_dir, as_of=binding.AS_OF):
@@ -48,7 +46,7 @@ def raw_suppliers(spark, sf_dir):
 
 def raw_bank_transactions(spark, sf_dir, as_of=binding.AS_OF):
     """Payments with a lost or unknown reference, or another amount than the invoice; dates that are missing."""
-    clean = binding.raw_bank_transactions(spark, sf_dir, as_of).withColumn("k", order_rest("invoice_reference"))
+    clean = binding.raw_bank_transactions(spark, sf_dir, as_of, extra={"k": ORDER_REST})
     k = F.coalesce("k", F.lit(-1))
     changed = {
         "invoice_reference": F.when(k == 10, F.concat(F.lit("GONE-"), "invoice_reference")).when(
@@ -69,12 +67,12 @@ PAID_AGAIN = {3: [0], 17: [2], 23: [10], 29: [1, 2], 31: [-3]}
 
 def raw_double_payments(spark, sf_dir, as_of=binding.AS_OF):
     """The clean ledger with some invoices paid again: on the day, inside and outside the tolerance, and three times."""
-    clean = binding.raw_bank_transactions(spark, sf_dir, as_of).withColumn("k", order_rest("invoice_reference"))
+    clean = binding.raw_bank_transactions(spark, sf_dir, as_of, extra={"k": ORDER_REST})
     shifts = F.lit(None).cast("array<int>")
     for k, days in PAID_AGAIN.items():
         shifts = F.when(F.col("k") == k, F.array(*[F.lit(d) for d in [0, *days]])).otherwise(shifts)
     copies = clean.select("*", F.posexplode(F.coalesce(shifts, F.array(F.lit(0)))).alias("copy", "shift"))
-    again = F.concat("transaction_id", F.when(F.col("copy") > 0, F.concat(F.lit("/"), "copy")).otherwise(""))
+    again = F.when(F.col("copy") > 0, F.concat("transaction_id", F.lit("/"), "copy")).otherwise(F.col("transaction_id"))
     changed = {
         "transaction_id": again,
         "transaction_date": F.date_add("transaction_date", F.col("shift")),

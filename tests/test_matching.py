@@ -1,11 +1,15 @@
 """One-to-one reconciliation against augmenting paths over all pairs."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import matching
+from ledgerline.operators.silver import silver_invoices
+from ledgerline.sources import binding, spoiled
 
 
 def left_over(payments, invoices, slack):
@@ -89,3 +93,54 @@ def test_the_points_are_not_joined_again(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 2, plan  # linked cells with their events, all cells with the linked ones' starts
     assert {tuple(r) for r in found.collect()} == {("k", 1, 1, 0, True), ("k", 9, 1, 1, False)}
+
+
+def star_tables(spark, folder, *keys):
+    """One paid line for each order number, and no receipts."""
+    lines = [(k, 7, 9, 2, 10.0, 100.0, 0.0, 0.08, "N", "F", f"1995-03-0{1 + i}") for i, k in enumerate(keys)]
+    names = "orderkey long, partkey long, suppkey long, linenumber int, quantity double, extendedprice double, discount double"
+    schema = ", ".join(f"l_{c}" for c in (names + ", tax double, returnflag string, linestatus string, shipdate string").split(", "))
+    spark.createDataFrame(lines, schema).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz")).write.parquet(
+        f"{folder}/lineitem.parquet"
+    )
+    orders = "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double, o_orderstatus string"
+    spark.createDataFrame([], orders).write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("axis", ["days", "amount"])
+def test_the_scan_of_the_invoices_is_short_enough_to_be_compiled(spark, tmp_path, monkeypatch, axis):
+    seen = []
+
+    def keep(payments, invoices, keys, slack, width):
+        seen.append(matching.counted(invoices, keys))
+        return found(payments, invoices, keys, slack, width)
+
+    found = matching.match_runs
+    monkeypatch.setattr(matching, "match_runs", keep)
+    d = star_tables(spark, tmp_path, 1)
+    bank, invoices = binding.raw_bank_transactions(spark, d), silver_invoices(binding.raw_invoices(spark, d))
+    matching.one_to_one_points(bank, invoices, axis=axis)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = seen[0].select("*")._jdf.queryExecution()
+        code = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000  # the JVM interprets longer methods
+
+
+def test_bills_paid_again_by_the_first_number_of_their_id(spark, tmp_path):
+    # without an order number the line number, 2, comes first in the id; 2, 43 and 46 are 2, 3 and 6 modulo 40
+    d = star_tables(spark, tmp_path, 43, 46, None, 71)
+    rows = spoiled.raw_double_payments(spark, d).orderBy("transaction_id").collect()
+    assert [(row.transaction_id, row.transaction_date.isoformat()) for row in rows] == [
+        ("PAY-2-7-9-10", "1995-03-16"),
+        ("PAY-43-2-7-9-10", "1995-03-14"),
+        ("PAY-43-2-7-9-10/1", "1995-03-14"),
+        ("PAY-46-2-7-9-10", "1995-03-15"),
+        ("PAY-71-2-7-9-10", "1995-03-17"),
+        ("PAY-71-2-7-9-10/1", "1995-03-14"),
+    ]
