@@ -232,6 +232,12 @@ def test_models_learn_a_clean_signal(spark, make_invoices, make_suppliers, model
     assert (run.n_features, run.n_train_rows, run.cv_auc_mean) == (len(BASE_FEATURES) + 2, 48, None)
 
 
+def test_a_fit_deals_its_rows_to_one_wave_of_tasks():
+    assert [training.fit_partitions(rows, 12) for rows in (0, 40_000, 240_000)] == [1, 1, 5]
+    assert training.fit_partitions(3_000_000, 12) == 12  # one for every 50,000 rows would be five waves a pass
+    assert training.fit_partitions(30_000_000, 12) == 120
+
+
 def test_cross_validation_scores_every_fold(spark, make_invoices, make_suppliers):
     prepared = training.prepare(joined_frame(spark, make_invoices, make_suppliers), balanced=True)
     per_fold = training.cv_auc(prepared, "LogisticRegression", folds=3, weight="weight", maxIter=10)
