@@ -238,6 +238,17 @@ def test_a_fit_deals_its_rows_to_one_wave_of_tasks():
     assert training.fit_partitions(30_000_000, 12) == 120
 
 
+def test_prepared_rows_are_kept_once_as_vectors(spark, make_invoices, make_suppliers):
+    prepared = training.prepare(joined_frame(spark, make_invoices, make_suppliers))
+    assert prepared.data.columns == ["invoice_id", "label", "split", "features"]
+    columns = prepared.fitted.columns
+    for row, whole in zip(prepared.data.orderBy("invoice_id").collect(), prepared.rows.orderBy("invoice_id").collect()):
+        assert list(row.features.toArray()) == [float(whole[c]) for c in columns]
+    types = {c: prepared.rows.schema[c].dataType.simpleString() for c in ("log_invoice_amount", "invoice_month", "is_q4")}
+    assert types == {"log_invoice_amount": "double", "invoice_month": "int", "is_q4": "int"}
+    prepared.release()
+
+
 def test_cross_validation_scores_every_fold(spark, make_invoices, make_suppliers):
     prepared = training.prepare(joined_frame(spark, make_invoices, make_suppliers), balanced=True)
     per_fold = training.cv_auc(prepared, "LogisticRegression", folds=3, weight="weight", maxIter=10)
