@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 import json
+import threading
 from decimal import Decimal
 
 import pytest
@@ -238,6 +239,33 @@ def test_a_fit_deals_its_rows_to_one_wave_of_tasks():
     assert training.fit_partitions(30_000_000, 12) == 120
 
 
+def test_folds_that_share_the_cores_are_dealt_to_fewer_partitions():
+    assert training.fold_partitions(400_000, 8, 12, 5) == 4  # eight for each of five fits would be over three waves a pass
+    assert training.fold_partitions(400_000, 8, 12, 1) == 8
+    assert training.fold_partitions(24_000_000, 96, 12, 5) == 96  # none is made longer than can be kept
+    assert training.fold_partitions(0, 1, 12, 5) == 1
+
+
+def test_models_on_few_rows_are_fitted_side_by_side(spark, tmp_path, monkeypatch, make_invoices, make_suppliers):
+    begun = threading.Barrier(3, timeout=60)  # breaks where one model waits for another
+    fit = training.fit_model
+
+    def fit_with_others(*args, **params):
+        begun.wait()
+        return fit(*args, **params)
+
+    monkeypatch.setattr(training, "fit_model", fit_with_others)
+    rows = [{"id": f"P{i}", "supplier": f"S{i % 2}", "incl": 100 + i, "late": i % 2 == 1, "date": "2024-01-11"} for i in range(40)]
+    short = {"GradientBoosting": {"maxIter": 2}, "RandomForest": {"numTrees": 2}, "LogisticRegression": {"maxIter": 5}}
+    masters = make_suppliers("S0", prior="0.1000").unionByName(make_suppliers("S1", prior="0.3900"))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    runs = training.train_all(spark, make_invoices(*rows), masters, str(tmp_path), "d1", overrides=short, folds=2)
+    assert runs.where("cv_auc_mean is not null and attempt = 1").count() == 3
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    many = training.SIDE_BY_SIDE_ROWS + 1
+    assert [training.models_at_once(n, 3) for n in (0, many)] == [3, 1] and training.models_at_once(0, 0) == 1
+
+
 def test_prepared_rows_are_kept_once_as_vectors(spark, make_invoices, make_suppliers):
     prepared = training.prepare(joined_frame(spark, make_invoices, make_suppliers))
     assert prepared.data.columns == ["invoice_id", "label", "split", "features"]
