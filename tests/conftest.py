@@ -33,6 +33,15 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def nothing_cached_by_others(request):
+    """What a test leaves in the session's cache is gone before the next one counts what is kept."""
+    session = request.getfixturevalue("spark") if "spark" in request.fixturenames else None
+    yield
+    if session is not None:
+        session.catalog.clearCache()
+
+
 def day(text):
     return dt.date.fromisoformat(text) if text else None
 
